@@ -22,4 +22,12 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the files of a settled table that no later step reads."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._settled)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -127,3 +127,14 @@ def code_points(data: np.ndarray) -> np.ndarray:
     out = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=out[1:])
     return out
+
+
+def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte limits of all lines (split at newlines) in order, and their documents. Every document has a line at least."""
+    breaks = np.flatnonzero(data == 10)
+    starts = np.concatenate([offsets[:-1], breaks + 1])
+    docs = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, "right") - 1])
+    order = np.lexsort((starts, docs))
+    starts, docs = starts[order], docs[order]
+    last = np.append(docs[1:] != docs[:-1], True)
+    return starts, np.where(last, offsets[docs + 1], np.append(starts[1:], 0) - 1), docs
