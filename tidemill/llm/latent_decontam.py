@@ -182,29 +182,32 @@ def _search(sent):
     def run(batches):
         blocks, weights = sent.value
         held = [np.append((x.row < len(x.space) - 1), False) for x in blocks]
+        plans = []
+        for x in blocks:
+            for size in WINDOWS:
+                low = max([w for w in WINDOWS if w < size], default=0)
+                mine = np.array([i for i, p in enumerate(x.passages) if low < len(p.hashes) <= size], np.int64)
+                if len(mine):
+                    plans.append((x, size, mine, np.ascontiguousarray(x.space @ x.vectors[mine].T)))
         for batch in batches:
             found: list[tuple] = []
             for at, hashes, terms, first in _words(batch.column("text")):
                 weight = weights[terms].astype(np.float64) ** 2
                 whole = np.concatenate([[0], np.cumsum(weight)])
                 count = np.diff(first)
-                for block, inside in zip(blocks, held, strict=True):
-                    part = np.concatenate([[0], np.cumsum(weight * inside[terms])])
-                    for size in WINDOWS:
-                        low = max([x for x in WINDOWS if x < size], default=0)
-                        mine = np.array([i for i, p in enumerate(block.passages) if low < len(p.hashes) <= size])
-                        if not len(mine):
-                            continue
-                        step = size // 4
-                        n = np.where(count > 0, np.maximum(-(-(count - size) // step), 0) + 1, 0)
-                        doc = np.repeat(np.arange(len(count)), n)
-                        start = first[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * step
-                        end = np.minimum(start + size, first[doc + 1])
-                        norm = whole[end] - whole[start]
-                        may = np.flatnonzero(part[end] - part[start] >= COSINE**2 * np.maximum(norm, 1e-9))
-                        for some in np.array_split(may, len(may) // 2048 + 1):
-                            if len(some):
-                                found += _compare(block, mine, size, hashes, terms, first, at, doc[some], start[some], end[some], norm[some])
+                parts = {id(x): np.concatenate([[0], np.cumsum(weight * inside[terms])]) for x, inside in zip(blocks, held, strict=True)}
+                for block, size, mine, against in plans:
+                    part, step = parts[id(block)], size // 4
+                    n = np.where(count > 0, np.maximum(-(-(count - size) // step), 0) + 1, 0)
+                    doc = np.repeat(np.arange(len(count)), n)
+                    start = first[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * step
+                    end = np.minimum(start + size, first[doc + 1])
+                    norm = whole[end] - whole[start]
+                    # The terms outside the block add nothing to a product, so the others' share bounds the cosine.
+                    may = np.flatnonzero(part[end] - part[start] >= COSINE**2 * np.maximum(norm, 1e-9))
+                    for some in np.array_split(may, len(may) // 512 + 1):
+                        if len(some):
+                            found += _compare(block, against, mine, size, hashes, terms, first, at, doc[some], start[some], end[some], norm[some])
             ids = batch.column("id")
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array([f[0] for f in found], pa.int64())), *(pa.array([f[i] for f in found], kind) for i, kind in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64())))],
@@ -214,16 +217,14 @@ def _search(sent):
     return run
 
 
-def _compare(block: LatentBlock, mine, size, hashes, terms, first, at, doc, start, end, norm) -> list[tuple]:
-    """Windows that hold a passage, as (row, item, cosine, common share, answer share)."""
+def _compare(block: LatentBlock, against, mine, size, hashes, terms, first, at, doc, start, end, norm) -> list[tuple]:
+    """Windows that hold a passage, as (row, item, cosine, common share, answer share).
+
+    A window's latent vector is the sum of its terms' vectors, so its product with a passage's is the sum of theirs: ``against`` has a row for each term.
+    """
     where = start[:, None] + np.arange(size)
     rows = np.where(where < end[:, None], block.row[terms[np.minimum(where, len(terms) - 1)]], len(block.space) - 1)
-    window, place = np.nonzero(rows < len(block.space) - 1)
-    first_hit = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(window) else window
-    vectors = np.zeros((len(start), block.space.shape[1]), np.float32)
-    if len(window):
-        vectors[window[first_hit]] = np.add.reduceat(block.space[rows[window, place]], first_hit, axis=0)
-    cosine = vectors @ block.vectors[mine].T / np.sqrt(norm)[:, None]
+    cosine = against[rows].sum(axis=1) / np.sqrt(norm)[:, None]
     out = []
     for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
         p = block.passages[mine[j]]
