@@ -4,7 +4,7 @@ Every document is the set of its distinct word shingles, as 64-bit hashes. A sim
 first ``n - ceil(t * n) + 1`` of both sets under any one global order. The order here is: rare tokens before frequent
 ones, then by hash. Equal sets are collapsed first; sets with the same size and the same prefix form one group, and only
 groups meet in the token lists. Group pairs are filtered by size and position, expanded to members, filtered by an upper
-bound on the overlap from small histograms, and verified on the whole sets.
+bound on the overlap from bitmaps and small histograms, and verified on the whole sets.
 
 Only connections are asked for, so pairs that are already connected are never listed: a first round links every group to
 the most promising leaders of its lists; afterwards a list matters only if it still holds different components, and then
@@ -26,13 +26,15 @@ from tidemill.llm.components import components
 from tidemill.llm.stage import drop, settle
 
 #: A token in this many sets' heads or more goes to the end of the order. It only moves cost; any value gives the same result.
-FREQUENT = 256
+FREQUENT = 64
+#: 64-bit words of a set's parity bitmap: two sets differ in as many elements at least as their bitmaps differ in bits.
+PARITY = 8
 #: Cells of the histogram that bounds the overlap of two sets.
 CELLS = 256
 #: Leaders that a group tries in the first round.
 LEADERS = 2
 _NONE = 2**63 - 1
-_SET = "id long, n int, k1 long, k2 long, head array<long>"
+_SET = "id long, n int, k1 long, k2 long, head array<long>, bits array<long>"
 _WHOLE = "node long, n int, cells binary, tokens array<long>"
 
 
@@ -41,8 +43,8 @@ def _prefix_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def _head_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
-    """Tokens kept per set in the first pass: half as many again as the prefix, as frequent ones will be put last."""
-    return np.minimum(n, _prefix_size(n, percent) * 3 // 2 + 8)
+    """Tokens kept per set in the first pass: a quarter more than the prefix, as frequent ones will be put last."""
+    return np.minimum(n, _prefix_size(n, percent) * 5 // 4 + 8)
 
 
 def _sets(texts: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -72,8 +74,9 @@ def _heads(k: int, percent: int):
                 mixed = [textkit._mix(x.view(np.uint64)) for x in sets]
                 k1 = np.array([np.add.reduce(x, dtype=np.uint64) for x in mixed], np.uint64).view(np.int64)
                 k2 = np.array([np.bitwise_xor.reduce(x) if len(x) else 0 for x in mixed], np.uint64).view(np.int64)
-                sizes = _head_size(n, percent)
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), pa.array(n), pa.array(k1), pa.array(k2), _lists([x[:s] for x, s in zip(sets, sizes, strict=True)])], ["id", "n", "k1", "k2", "head"])
+                heads = _lists([x[:s] for x, s in zip(sets, _head_size(n, percent), strict=True)])
+                bits = _lists([np.packbits(np.bincount(x.view(np.uint64) >> np.uint64(9) & np.uint64(64 * PARITY - 1), minlength=64 * PARITY) & 1).view(np.int64) for x in sets])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), pa.array(n), pa.array(k1), pa.array(k2), heads, bits], ["id", "n", "k1", "k2", "head", "bits"])
 
     return run
 
@@ -131,6 +134,12 @@ def _can_match(percent: int) -> F.Column:
     return F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {least}")
 
 
+def _may_overlap(percent: int) -> F.Column:
+    """The bound on the overlap that the parity bitmaps of x and y leave."""
+    differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(PARITY))
+    return F.expr(f"{100 + percent} * (x.n + y.n - ({differ})) >= {2 * percent} * (x.n + y.n)")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Join documents on word-shingle similarity and return each one's component.
 
@@ -147,11 +156,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     same = settle(heads.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("node")))
     prefix_sql = f"n - (({percent} * n + 99) div 100) + 1"
     prefix = F.expr(prefix_sql)
-    head_size = F.expr(f"least(n, ({prefix_sql}) * 3 div 2 + 8)")
+    head_size = F.expr(f"least(n, ({prefix_sql}) * 5 div 4 + 8)")
 
+    known = settle(heads.select("id", "n", "k1", "k2"))
+    bits = settle(heads.filter("n > 0").groupBy(F.col("id").alias("gid")).agg(F.first("bits").alias("bits")))
     nodes = heads.join(same, ["k1", "k2", "n"]).filter("id = node").dropDuplicates(["node", "k1", "k2"])
     entries = nodes.select("node", "n", F.posexplode("head").alias("at", "token"))
     entries = settle(entries.withColumn("often", F.count("*").over(Window.partitionBy("token"))).filter("often > 1"))
+    drop(heads)
     frequent = entries.filter(F.col("often") >= FREQUENT)
     put_last = frequent.groupBy("node").agg(F.sort_array(F.collect_set("at")).alias("last"), F.max("n").alias("n"))
     put_last = put_last.select("node", "last", (F.size("last") > head_size - prefix).alias("short"))
@@ -180,34 +192,43 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     groups = group.withColumn("gid", F.min("node").over(Window.partitionBy("n", "s", "x", "tokens"))).select("node", "gid")
     groups = settle(groups.groupBy("node").agg(F.min("gid").alias("gid")))
     led = lists.join(groups.filter("node = gid").select("node"), "node", "left_semi").withColumnRenamed("node", "gid")
-    led = settle(led.withColumn("often", F.count("*").over(Window.partitionBy("rule", "token"))).filter("often > 1").drop("often"))
+    lists_by = ["rule", "token"]
+    led = settle(led.withColumn("often", F.count("*").over(Window.partitionBy(lists_by))).filter("often > 1"))
     drop(lists)
 
-    # First round: leaders of each list, by size and by a seeded order, then the leader of each group for its members.
-    entry = F.struct("n", "pos", "gid", "short")
-    lists = ["rule", "token"]
-    leaders = led.groupBy(lists).agg(F.min(entry).alias("p"), F.min(F.struct(F.xxhash64("gid", F.lit(7)), entry.alias("e"))).getField("e").alias("q"))
-    leaders = leaders.select(*lists, F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
-    tries = led.select(*lists, entry.alias("x")).join(leaders, lists).filter("x.gid != y.gid").filter(_can_match(percent))
-    tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"))
-    tries = tries.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).filter(F.col("r") <= LEADERS)
+    # First round: leaders of each list, by size and by how common all that they share is (a text that others are copies of
+    # shares all of it), then the leader of each group for its members.
+    entry = F.struct("n", "pos", "gid")
+    common = led.groupBy("gid").agg((F.sum(F.log("often")) / F.max(prefix)).alias("common"))
+    leaders = led.join(common, "gid").groupBy(lists_by).agg(F.min(entry).alias("p"), F.max(F.struct("common", entry.alias("e"))).getField("e").alias("q"))
+    leaders = leaders.select(*lists_by, F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
+    tries = led.select(*lists_by, entry.alias("x")).join(leaders, lists_by).filter("x.gid != y.gid").filter(_can_match(percent))
+    tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"))
+    sides = [bits.select(F.col("gid").alias(c), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
+    tries = tries.join(sides[0], "a").join(sides[1], "b")
+    tries = tries.withColumns({"x": F.struct(F.col("na").alias("n"), F.col("bits_a").alias("bits")), "y": F.struct(F.col("nb").alias("n"), F.col("bits_b").alias("bits"))}).filter(_may_overlap(percent))
+    tries = tries.select("a", "b", "shared").withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).filter(F.col("r") <= LEADERS)
     tries = tries.select("a", "b").union(groups.filter("node != gid").select("node", "gid"))
-    links = _verify(settle(tries), docs, k, percent)
+    tries = settle(tries)
+    links = _verify(tries, docs, k, percent)
+    drop(tries)
     comps = settle(components(links))
 
     # Second round: what the lists still hold of different components.
     member = settle(groups.join(comps, "node", "left").select("node", "gid", F.coalesce("comp", "node").alias("comp")))
     state = member.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("comp"))
-    placed = settle(led.join(state, "gid").select(*lists, F.struct("gid", "n", "pos", "short", "comp").alias("x")))
-    sides = placed.groupBy(*lists, "x.comp").agg(F.count("*").alias("size"))
-    main = sides.groupBy(lists).agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"), F.max(F.col("comp").isNull()).alias("mixed"))
-    open_lists = main.filter("sides > 1 or mixed").select(*lists, "main")
-    placed = settle(placed.join(open_lists, lists).select(*lists, "x", F.expr("x.comp is null or main is null or x.comp != main").alias("minor")))
-    minor = placed.filter("minor").select(*lists, "x")
-    other = placed.select(*lists, F.col("x").alias("y"), F.col("minor").alias("too"))
-    met = minor.filter("rule = 1 or x.short").join(other, lists).filter("x.gid < y.gid or not too or (rule = 2 and not y.short)")
-    met = met.unionByName(minor.filter("rule = 2 and not x.short").join(other.filter("y.short and not too"), lists))
-    met = met.filter("x.gid != y.gid and (x.comp is null or y.comp is null or x.comp != y.comp)").filter(_can_match(percent))
+    placed = led.join(state, "gid")
+    sides = placed.groupBy(*lists_by, "comp").agg(F.count("*").alias("size"))
+    main = sides.groupBy(lists_by).agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"), F.max(F.col("comp").isNull()).alias("mixed"))
+    open_lists = main.filter("sides > 1 or mixed").select(*lists_by, "main")
+    placed = placed.join(open_lists, lists_by).join(bits, "gid")
+    placed = settle(placed.select(*lists_by, F.struct("gid", "n", "pos", "short", "comp", "bits").alias("x"), F.expr("comp is null or main is null or comp != main").alias("minor")))
+    drop(led)
+    minor = placed.filter("minor").select(*lists_by, "x")
+    other = placed.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"))
+    met = minor.filter("rule = 1 or x.short").join(other, lists_by).filter("x.gid < y.gid or not too or (rule = 2 and not y.short)")
+    met = met.unionByName(minor.filter("rule = 2 and not x.short").join(other.filter("y.short and not too"), lists_by))
+    met = met.filter("x.gid != y.gid and (x.comp is null or y.comp is null or x.comp != y.comp)").filter(_can_match(percent)).filter(_may_overlap(percent))
     met = met.select(F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb")).distinct()
     left, right = (member.select(F.col("gid").alias(f"g{c}"), F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
     pairs = met.join(left, "ga").join(right, "gb").filter("ca != cb").select("a", "b")
@@ -217,11 +238,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     odd = member.join(inner, "gid").filter("comp != main").select("gid", F.col("node").alias("a"), F.col("comp").alias("ca"))
     within = odd.join(member.select("gid", F.col("node").alias("b"), F.col("comp").alias("cb")), "gid").filter("ca != cb").select("a", "b")
     pairs = pairs.union(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _verify(settle(pairs), docs, k, percent)
+    pairs = settle(pairs)
+    drop(placed)
+    more = _verify(pairs, docs, k, percent)
+    drop(pairs)
     comps = settle(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))
 
     found = same.join(comps, "node", "left").select("k1", "k2", "n", F.coalesce("comp", "node").alias("comp"))
-    out = heads.select("id", "n", "k1", "k2").join(found, ["k1", "k2", "n"], "left")
-    out = out.groupBy("id").agg(F.min(F.coalesce("comp", "id")).alias("comp")).join(heads.select("id", "n"), "id")
+    out = known.join(found, ["k1", "k2", "n"], "left")
+    out = out.groupBy("id").agg(F.min(F.coalesce("comp", "id")).alias("comp")).join(known.select("id", "n"), "id")
     back = lambda c: F.when(F.col(c) != _NONE, F.col(c))
     return out.select(back("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back("comp").alias("component_id"))
