@@ -3,13 +3,198 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemill.functions import template, timefn
+from tidemill.operators import jobs, parse, save
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, tuple[Query, str]] = {}
+
+
+def _query(name: str, sql: str) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[name] = (f, sql)
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_FLOORS = {
+    "floor_5m": ("5m", "date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 5 AS INTEGER))"),
+    "floor_7m": ("7m", "date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 7 AS INTEGER))"),
+    "floor_4h": ("4h", "date_trunc('hour', ts) - to_hours(CAST(hour(ts) % 4 AS INTEGER))"),
+    "floor_3d": ("3d", "CAST(CAST(ts AS DATE) - CAST((CAST(ts AS DATE) - DATE '1970-01-01') % 3 AS INTEGER) AS TIMESTAMP)"),
+    "floor_2w": ("2w", "CAST(CAST(ts AS DATE) - CAST((CAST(ts AS DATE) - DATE '1970-01-05') % 14 AS INTEGER) AS TIMESTAMP)"),
+}
+for _name, (_cycle, _sql) in _FLOORS.items():
+
+    @_query(_name, f"SELECT {_sql} AS slot, count(*) AS n FROM events GROUP BY 1")
+    def _floor(spark: SparkSession, sf_dir: str, cycle: str = _cycle) -> DataFrame:
+        return _t(spark, sf_dir, "events").groupBy(timefn.floor_to(F.col("ts"), cycle).alias("slot")).agg(F.count("*").alias("n"))
+
+
+@_query(
+    "event_feed",
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 5 AS INTEGER)) AS slot
+    FROM events ORDER BY event_id DESC LIMIT 100""",
+)
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select("event_id", parse.json_scalar(F.col("props"), "k", "bigint").alias("k"), timefn.floor_to(F.col("ts"), "5m").alias("slot"))
+    return save.page(rows, "event_id", 100)
+
+
+@_query(
+    "date_macros",
+    """SELECT o_orderkey, strftime(d, '%Y%m%d') AS today, strftime(d - 1, '%Y%m%d') AS yesterday, strftime(d - INTERVAL 1 MONTH, '%Y%m%d') AS last_month,
+    strftime(date_trunc('month', d) - INTERVAL 1 DAY, '%Y%m%d') AS last_eom, strftime(d - INTERVAL 1 MONTH, '%Y%m') AS last_yymm,
+    strftime(d - CASE isodow(d) WHEN 1 THEN 3 WHEN 7 THEN 2 ELSE 1 END, '%Y%m%d') AS last_bday FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
+)
+def _macros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.to_date("o_orderdate")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", *(timefn.macro(k, d).alias(k) for k in ("today", "yesterday", "last_month", "last_eom", "last_yymm", "last_bday")))
+
+
+@_query("capture_stamp", "SELECT event_id, strftime(date_trunc('minute', ts) - to_minutes(CAST(minute(ts) % 15 AS INTEGER)), '%Y%m%d%H%M%S') AS trade_at FROM events")
+def _stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select("event_id", timefn.stamp(F.col("ts"), "15m").alias("trade_at"))
+
+
+@_query("axes_product", "SELECT n_name AS nation, n_nationkey AS code, r_name AS region, '20240229' AS day, 'x' AS kind FROM nation, region")
+def _axes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for name in ("nation", "region"):
+        _t(spark, sf_dir, name).createOrReplaceTempView(f"axis_{name}")
+    spec = {"nation, code": {"db": "SELECT n_name, n_nationkey FROM axis_nation"}, "region": {"db": "SELECT r_name FROM axis_region"}, "day": {"date": "last_month"}, "kind": "x"}
+    return jobs.product(spark, jobs.axes(spark, spec, date(2024, 3, 31)))
+
+
+@_query("params_json", "SELECT n_nationkey, CAST(json_object('name', n_name, 'region', n_regionkey) AS VARCHAR) AS params FROM nation")
+def _params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")).select("n_nationkey", jobs.params_json(["region", "name"]).alias("params"))
+
+
+@_query("job_id", "SELECT doc_id, CASE WHEN length('api_' || text) > 150 THEN left('api_' || left(sha256(text), 16), 150) ELSE 'api_' || text END AS job_id FROM documents")
+def _job_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", jobs.job_id(F.lit("api"), [F.col("text")]).alias("job_id"))
+
+
+@_query("job_conflicts", "SELECT 'li_' || l_orderkey AS job_id, count(DISTINCT l_linenumber) AS n_params FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linenumber) > 1")
+def _conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "lineitem")
+    return jobs.conflicts(rows.select(jobs.job_id(F.lit("li"), [F.col("l_orderkey")]).alias("job_id"), F.col("l_linenumber").cast("string").alias("params_json")))
+
+
+@_query("new_jobs", "SELECT 'c_' || c_custkey AS job_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = 1995)")
+def _new_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def made(df: DataFrame, key: str) -> DataFrame:
+        return df.select(jobs.job_id(F.lit("c"), [F.col(key)]).alias("job_id"), F.lit("{}").alias("params_json"))
+
+    old = made(_t(spark, sf_dir, "orders").filter(F.year("o_orderdate") == 1995), "o_custkey")
+    return jobs.new_jobs(made(_t(spark, sf_dir, "customer"), "c_custkey"), old).select("job_id")
+
+
+@_query("template_url", "SELECT event_id, '/u/' || user_id || '?t=' || event_type || '&x=:USER2' AS url FROM events")
+def _url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = template.substitute(F.lit("/u/:USER?t=:TYPE&x=:USER2"), {"USER": F.col("user_id"), "TYPE": F.col("event_type")})
+    return _t(spark, sf_dir, "events").select("event_id", made.alias("url"))
+
+
+@_query("json_scalar", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def _scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select("event_id", parse.json_scalar(F.col("props"), "k", "bigint").alias("k"))
+
+
+@_query("json_records", "SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS pos, turn, role, text FROM conversations")
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: x)
+    bodies = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.struct(turns.alias("items")).alias("data"))).alias("body"))
+    rows = parse.json_records(bodies, "body", "data.items")
+    return rows.select("conv_id", F.col("pos").cast("long"), F.from_json("record", "turn bigint, role string, text string").alias("r")).select("conv_id", "pos", "r.*")
+
+
+@_query("merge_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS kind FROM events")
+def _merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select("event_id", parse.merge_field(F.col("props"), "kind", F.col("event_type")).alias("record"))
+    return rows.select("event_id", F.from_json("record", "k string, kind string").alias("r")).select("event_id", F.col("r.k").cast("long").alias("k"), "r.kind")
+
+
+@_query("xml_records", "SELECT n_nationkey AS k, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation")
+def _xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.concat(F.lit("<r><item><NAME value='"), "n_name", F.lit("'/><REGION>"), F.col("n_regionkey").cast("string"), F.lit("</REGION></item></r>"))
+    rows = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.explode(parse.xml_record_texts(body, "item")).alias("record"))
+    return rows.select("k", F.get_json_object("record", "$.NAME").alias("name"), F.get_json_object("record", "$.REGION").alias("region"))
+
+
+@_query("delimited_records", r"SELECT doc_id, nullif(regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', ''), '') AS text, source FROM documents WHERE text IS NOT NULL")
+def _delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"|'), F.coalesce("source", F.lit("")), F.lit("|extra"))
+    rows = _t(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.explode(parse.delimited_records(body, ["text", "source"], "|")).alias("r"))
+    return rows.select("doc_id", F.col("r")["text"].alias("text"), F.col("r")["source"].alias("source"))
+
+
+@_query("typed_coercion", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value, 0 AS bad FROM events")
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select("event_id", F.concat(F.lit(" "), parse.json_scalar(F.col("props"), "k"), F.lit(".0")).alias("k"), F.col("value").cast("string").alias("value"))
+    return save.typed(rows, T.StructType([T.StructField("k", T.LongType()), T.StructField("value", T.DoubleType())]))
+
+
+@_query("generic_rows", "SELECT 'ev' AS api_id, 'ev_' || event_id AS job_id, CAST(json_object('user_id', user_id) AS VARCHAR) AS key_params_json, CAST(json_object('event_type', event_type, 'props', props) AS VARCHAR) AS result_json FROM events")
+def _generic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").withColumns({"api_id": F.lit("ev"), "job_id": jobs.job_id(F.lit("ev"), [F.col("event_id")])})
+    return save.generic(rows, ["event_type", "props"], ["user_id"])
+
+
+@_query(
+    "page_merge",
+    """WITH p AS (SELECT l_orderkey, l_linenumber AS page, min(l_returnflag) AS digest, count(*) AS n FROM lineitem GROUP BY 1, 2),
+    q AS (SELECT *, lag(digest) OVER (PARTITION BY l_orderkey ORDER BY page) AS before FROM p),
+    s AS (SELECT l_orderkey, min(page) AS stop FROM q WHERE n = 0 OR digest = before GROUP BY 1) SELECT l_orderkey, page, digest, n FROM p LEFT JOIN s USING (l_orderkey) WHERE stop IS NULL OR page < stop""",
+)
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("page")).agg(F.min("l_returnflag").alias("digest"), F.count("*").alias("n"))
+    return parse.merge_pages(rows, ["l_orderkey"])
+
+
+@_query("save_overwrite", "SELECT 'o_' || o_custkey AS job_id, o_orderkey, CASE WHEN o_orderstatus = 'F' THEN -o_totalprice ELSE o_totalprice END AS price FROM orders WHERE o_custkey % 10 <> 3 OR o_orderstatus = 'F'")
+def _overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.when(F.col("o_orderstatus") == "F", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    old = _t(spark, sf_dir, "orders").withColumn("job_id", jobs.job_id(F.lit("o"), [F.col("o_custkey")])).withColumn("price", price)
+    again = old.filter("o_custkey % 10 = 3")
+    return save.overwrite(old.select("job_id", "o_orderkey", "price"), again.filter("o_orderstatus = 'F'").select("job_id", "o_orderkey", "price"), again)
+
+
+@_query("count_by_table", "SELECT event_type AS table_name, count(*) AS n FROM events GROUP BY 1")
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table_name")).agg(F.count("*").alias("n"))
+
+
+@_query("result_page", "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 100 OFFSET 50")
+def _page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return save.page(_t(spark, sf_dir, "orders"), "o_orderkey", 100, 50)
+
+
+@_query("recent_logs", "SELECT event_id AS id, event_type AS status, ts AS executed_at FROM events WHERE event_type = 'click' ORDER BY ts DESC NULLS FIRST, event_id DESC LIMIT 100")
+def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("status"), F.col("ts").alias("executed_at"))
+    return save.recent_logs(rows, "click")
+
+
+@_query("tick_5m_window", "SELECT event_id, isodow(ts) < 6 AND strftime(ts, '%H:%M') BETWEEN '08:40' AND '16:45' AND minute(ts) % 5 = 0 AND second(ts) = 0 AS fires FROM events")
+def _tick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events").select("event_id", timefn.on_tick(F.col("ts"), "08:40", "16:45", 5).alias("fires"))
+
+
+def queries() -> dict[str, Query]:
+    return {name: f for name, (f, _) in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _QUERIES.items()}
