@@ -59,11 +59,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SPACE = r"[\x20\x09-\x0D]"
 
 OP3_SQL = rf"""
-WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at FROM documents),
-k AS (SELECT doc_id, at, line, translate(regexp_replace(regexp_replace(line, '^{_SPACE}+', ''), '{_SPACE}+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, line, translate(regexp_replace(regexp_replace(line, '^{_SPACE}+', ''), '{_SPACE}+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 r AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id > owner) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE owner IS NULL OR doc_id = owner), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE owner IS NULL OR doc_id = owner), '')) AS kept_sha256
 FROM k LEFT JOIN r USING (key) GROUP BY doc_id"""
 
 
