@@ -159,7 +159,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     head_size = F.expr(f"least(n, ({prefix_sql}) * 5 div 4 + 8)")
 
     known = settle(heads.select("id", "n", "k1", "k2"))
-    bits = settle(heads.filter("n > 0").groupBy(F.col("id").alias("gid")).agg(F.first("bits").alias("bits")))
+    bits = settle(heads.filter("n > 0").join(same, ["k1", "k2", "n"]).filter("id = node").select("node", "n", "bits").dropDuplicates())
     nodes = heads.join(same, ["k1", "k2", "n"]).filter("id = node").dropDuplicates(["node", "k1", "k2"])
     entries = nodes.select("node", "n", F.posexplode("head").alias("at", "token"))
     entries = settle(entries.withColumn("often", F.count("*").over(Window.partitionBy("token"))).filter("often > 1"))
@@ -204,7 +204,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     leaders = leaders.select(*lists_by, F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
     tries = led.select(*lists_by, entry.alias("x")).join(leaders, lists_by).filter("x.gid != y.gid").filter(_can_match(percent))
     tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"))
-    sides = [bits.select(F.col("gid").alias(c), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
+    sides = [bits.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
     tries = tries.join(sides[0], "a").join(sides[1], "b")
     tries = tries.withColumns({"x": F.struct(F.col("na").alias("n"), F.col("bits_a").alias("bits")), "y": F.struct(F.col("nb").alias("n"), F.col("bits_b").alias("bits"))}).filter(_may_overlap(percent))
     tries = tries.select("a", "b", "shared").withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).filter(F.col("r") <= LEADERS)
@@ -216,28 +216,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
 
     # Second round: what the lists still hold of different components.
     member = settle(groups.join(comps, "node", "left").select("node", "gid", F.coalesce("comp", "node").alias("comp")))
-    state = member.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("comp"))
-    placed = led.join(state, "gid")
+    # Members of a group stand at the same places, but each has its own bitmap.
+    placed = led.join(member, "gid")
     sides = placed.groupBy(*lists_by, "comp").agg(F.count("*").alias("size"))
-    main = sides.groupBy(lists_by).agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"), F.max(F.col("comp").isNull()).alias("mixed"))
-    open_lists = main.filter("sides > 1 or mixed").select(*lists_by, "main")
-    placed = placed.join(open_lists, lists_by).join(bits, "gid")
-    placed = settle(placed.select(*lists_by, F.struct("gid", "n", "pos", "short", "comp", "bits").alias("x"), F.expr("comp is null or main is null or comp != main").alias("minor")))
+    main = sides.groupBy(lists_by).agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"))
+    placed = placed.join(main.filter("sides > 1").select(*lists_by, "main"), lists_by).join(bits, ["node", "n"])
+    placed = settle(placed.select(*lists_by, F.struct("node", "n", "pos", "short", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
     drop(led)
     minor = placed.filter("minor").select(*lists_by, "x")
     other = placed.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"))
-    met = minor.filter("rule = 1 or x.short").join(other, lists_by).filter("x.gid < y.gid or not too or (rule = 2 and not y.short)")
+    met = minor.filter("rule = 1 or x.short").join(other, lists_by).filter("x.node < y.node or not too or (rule = 2 and not y.short)")
     met = met.unionByName(minor.filter("rule = 2 and not x.short").join(other.filter("y.short and not too"), lists_by))
-    met = met.filter("x.gid != y.gid and (x.comp is null or y.comp is null or x.comp != y.comp)").filter(_can_match(percent)).filter(_may_overlap(percent))
-    met = met.select(F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb")).distinct()
-    left, right = (member.select(F.col("gid").alias(f"g{c}"), F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
-    pairs = met.join(left, "ga").join(right, "gb").filter("ca != cb").select("a", "b")
-    # Within a group of several components: members outside its largest one, against all.
+    met = met.filter("x.comp != y.comp").filter(_can_match(percent)).filter(_may_overlap(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    # Within a group of several components, which may be alone in its lists: members outside its largest one, against all.
     inner = member.groupBy("gid", "comp").agg(F.count("*").alias("size"))
     inner = inner.groupBy("gid").agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides")).filter("sides > 1")
-    odd = member.join(inner, "gid").filter("comp != main").select("gid", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    within = odd.join(member.select("gid", F.col("node").alias("b"), F.col("comp").alias("cb")), "gid").filter("ca != cb").select("a", "b")
-    pairs = pairs.union(within).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    own = member.join(inner.select("gid", "main"), "gid").join(bits, "node").select("gid", "main", F.struct("node", "n", "comp", "bits").alias("x"))
+    within = own.filter("x.comp != main").join(own.select("gid", F.col("x").alias("y")), "gid").filter("x.comp != y.comp").filter(_may_overlap(percent))
+    pairs = met.union(within.select("x.node", "y.node")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = settle(pairs)
     drop(placed)
     more = _verify(pairs, docs, k, percent)
