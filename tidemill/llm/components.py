@@ -24,6 +24,27 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a != b").distinct()
 
 
+def contract(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Links ``a``, ``b`` that connect what ``edges`` connect, after so many rounds of stars, or until nothing changes."""
+    now = settle(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a != b").distinct())
+    mark, done = None, 0
+    while done != rounds:
+        after = settle(_star(_star(now, True), False))
+        drop(now)
+        now, done = after, done + 1
+        if rounds is None:
+            seen = now.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"), F.expr("sum(xxhash64(a, b) >> 20)").alias("s")).first()
+            if seen == mark:
+                break
+            mark = seen
+    return now
+
+
+def labels(links: DataFrame) -> DataFrame:
+    """``node`` and ``comp`` of what ``contract`` returns: equal labels mean connected; after all its rounds, unequal ones mean apart."""
+    return links.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(links.select("b", "b")).groupBy("node").agg(F.min("comp").alias("comp"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Label every node that has a link.
 
@@ -31,13 +52,4 @@ def components(edges: DataFrame) -> DataFrame:
     ``comp``, the least node that can be reached. Nodes without a link to another node are not returned. The number of
     rounds grows with the logarithm of the largest component; each round is written to the shared folder.
     """
-    now = settle(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a != b").distinct())
-    mark = None
-    while True:
-        after = settle(_star(_star(now, True), False))
-        seen = after.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x"), F.expr("sum(xxhash64(a, b) >> 20)").alias("s")).first()
-        drop(now)
-        now = after
-        if seen == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(now.select("b", "b")).distinct()
-        mark = seen
+    return labels(contract(edges))

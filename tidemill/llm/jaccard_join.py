@@ -7,8 +7,8 @@ groups meet in the token lists. Group pairs are filtered by size and position, e
 bound on the overlap from bitmaps and small histograms, and verified on the whole sets.
 
 Only connections are asked for, so pairs that are already connected are never listed: a first round links every group to
-the most promising leaders of its lists; afterwards a list matters only if it still holds different components, and then
-only pairs with a side outside its largest component are formed. All those pairs are verified, so no link between two
+the most promising leaders of its lists, and the next two link sets of different components that stand side by side in a
+shuffled list. Afterwards a list matters only if it still holds different components, and then only pairs with a side outside its largest component are formed. All those pairs are verified, so no link between two
 components is lost, however large a group of copies is.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import textkit
-from tidemill.llm.components import components
+from tidemill.llm.components import components, contract, labels
 from tidemill.llm.stage import drop, settle
 
 #: A token in this many sets' heads or more goes to the end of the order. It only moves cost; any value gives the same result.
@@ -31,8 +31,10 @@ FREQUENT = 64
 PARITY = 8
 #: Cells of the histogram that bounds the overlap of two sets.
 CELLS = 256
-#: Leaders that a group tries in the first round.
+#: Partners that a set tries in each round but the last, which tries all that are left.
 LEADERS = 2
+#: Rounds between neighbours, before all that is left is tried. It only moves cost.
+ROUNDS = 2
 _NONE = 2**63 - 1
 _SET = "id long, n int, k1 long, k2 long, head array<long>, bits array<long>"
 _WHOLE = "node long, n int, cells binary, tokens array<long>"
@@ -134,10 +136,36 @@ def _can_match(percent: int) -> F.Column:
     return F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {least}")
 
 
+_DIFFER = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(PARITY))
+
+
 def _may_overlap(percent: int) -> F.Column:
     """The bound on the overlap that the parity bitmaps of x and y leave."""
-    differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(PARITY))
-    return F.expr(f"{100 + percent} * (x.n + y.n - ({differ})) >= {2 * percent} * (x.n + y.n)")
+    return F.expr(f"{100 + percent} * (x.n + y.n - ({_DIFFER})) >= {2 * percent} * (x.n + y.n)")
+
+
+def _best(tries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b, shared), the most promising LEADERS for each a."""
+    sides = [bits.select(F.col("node").alias(c), F.struct("n", "bits").alias(name)) for c, name in (("a", "x"), ("b", "y"))]
+    tries = tries.join(sides[0], "a").join(sides[1], "b").filter(_may_overlap(percent)).select("a", "b", "shared", F.expr(_DIFFER).alias("differ"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "differ", "b"))
+    return tries.withColumn("r", rank).filter(F.col("r") <= LEADERS).select("a", "b")
+
+
+def _divided(placed: DataFrame, comps: DataFrame) -> DataFrame:
+    """The entries of lists that hold several components, with their own (comp) and the largest of the list (main)."""
+    placed = placed.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sides = placed.groupBy("rule", "token", "comp").agg(F.count("*").alias("size"))
+    main = sides.groupBy("rule", "token").agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"))
+    return placed.join(main.filter("sides > 1").select("rule", "token", "main"), ["rule", "token"])
+
+
+def _neighbours(placed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of different components that stand side by side in a list, each list in an order of its own, another one each turn."""
+    order = Window.partitionBy("rule", "token").orderBy(F.xxhash64("node", "token", F.lit(turn)), "node")
+    placed = placed.select("rule", "token", "node", F.struct("node", "n", "pos", "comp").alias("x"))
+    near = placed.withColumn("y", F.lag("x").over(order)).filter("x.comp != y.comp").filter(_can_match(percent))
+    return near.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("shared"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,8 +217,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         F.expr("sum(xxhash64(rule, token, pos) >> 20)").alias("s"),
         F.expr("bit_xor(xxhash64(token, rule, pos))").alias("x"),
     )
-    groups = group.withColumn("gid", F.min("node").over(Window.partitionBy("n", "s", "x", "tokens"))).select("node", "gid")
-    groups = settle(groups.groupBy("node").agg(F.min("gid").alias("gid")))
+    groups = group.withColumn("gid", F.min("node").over(Window.partitionBy("n", "s", "x", "tokens"))).select("node", "gid", "n")
+    groups = settle(groups.groupBy("node").agg(F.min("gid").alias("gid"), F.min("n").alias("n")))
     led = lists.join(groups.filter("node = gid").select("node"), "node", "left_semi").withColumnRenamed("node", "gid")
     lists_by = ["rule", "token"]
     led = settle(led.withColumn("often", F.count("*").over(Window.partitionBy(lists_by))).filter("often > 1"))
@@ -203,42 +231,40 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     leaders = led.join(common, "gid").groupBy(lists_by).agg(F.min(entry).alias("p"), F.max(F.struct("common", entry.alias("e"))).getField("e").alias("q"))
     leaders = leaders.select(*lists_by, F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
     tries = led.select(*lists_by, entry.alias("x")).join(leaders, lists_by).filter("x.gid != y.gid").filter(_can_match(percent))
-    tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"))
-    sides = [bits.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
-    tries = tries.join(sides[0], "a").join(sides[1], "b")
-    tries = tries.withColumns({"x": F.struct(F.col("na").alias("n"), F.col("bits_a").alias("bits")), "y": F.struct(F.col("nb").alias("n"), F.col("bits_b").alias("bits"))}).filter(_may_overlap(percent))
-    tries = tries.select("a", "b", "shared").withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))).filter(F.col("r") <= LEADERS)
-    tries = tries.select("a", "b").union(groups.filter("node != gid").select("node", "gid"))
-    tries = settle(tries)
-    links = _verify(tries, docs, k, percent)
+    tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"))
+    tries = settle(_best(tries, bits, percent).union(groups.filter("node != gid").select("node", "gid")))
+    links = contract(_verify(tries, docs, k, percent), 2)
     drop(tries)
-    comps = settle(components(links))
-
-    # Second round: what the lists still hold of different components.
-    member = settle(groups.join(comps, "node", "left").select("node", "gid", F.coalesce("comp", "node").alias("comp")))
-    # Members of a group stand at the same places, but each has its own bitmap.
-    placed = led.join(member, "gid")
-    sides = placed.groupBy(*lists_by, "comp").agg(F.count("*").alias("size"))
-    main = sides.groupBy(lists_by).agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"))
-    placed = placed.join(main.filter("sides > 1").select(*lists_by, "main"), lists_by).join(bits, ["node", "n"])
-    placed = settle(placed.select(*lists_by, F.struct("node", "n", "pos", "short", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
+
+    # From here on lists hold members, each with its own bitmap, and a group of several is a list too (rule 0).
+    several = groups.join(groups.filter("node != gid").select("gid").distinct(), "gid", "left_semi")
+    several = several.select(F.lit(0).alias("rule"), F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"), F.lit(False).alias("short"))
+    placed = led.drop("often").join(groups.select("node", "gid"), "gid").drop("gid").unionByName(several)
+    placed = settle(_divided(placed, labels(links)))
     drop(led)
-    minor = placed.filter("minor").select(*lists_by, "x")
-    other = placed.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"))
-    met = minor.filter("rule = 1 or x.short").join(other, lists_by).filter("x.node < y.node or not too or (rule = 2 and not y.short)")
-    met = met.unionByName(minor.filter("rule = 2 and not x.short").join(other.filter("y.short and not too"), lists_by))
-    met = met.filter("x.comp != y.comp").filter(_can_match(percent)).filter(_may_overlap(percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    # Within a group of several components, which may be alone in its lists: members outside its largest one, against all.
-    inner = member.groupBy("gid", "comp").agg(F.count("*").alias("size"))
-    inner = inner.groupBy("gid").agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides")).filter("sides > 1")
-    own = member.join(inner.select("gid", "main"), "gid").join(bits, "node").select("gid", "main", F.struct("node", "n", "comp", "bits").alias("x"))
-    within = own.filter("x.comp != main").join(own.select("gid", F.col("x").alias("y")), "gid").filter("x.comp != y.comp").filter(_may_overlap(percent))
-    pairs = met.union(within.select("x.node", "y.node")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = settle(pairs)
+
+    # Next rounds: neighbours in the lists.
+    for turn in range(ROUNDS):
+        tries = settle(_best(_neighbours(placed, turn, percent), bits, percent))
+        links = contract(links.union(_verify(tries, docs, k, percent)), 2)
+        drop(tries)
+        after = settle(_divided(placed.drop("comp", "main"), labels(links)))
+        drop(placed)
+        placed = after
+
+    # Last round: all that the lists still hold of different components.
+    left = settle(placed.join(bits, ["node", "n"]).select(*lists_by, F.struct("node", "n", "pos", "short", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
     drop(placed)
+    minor = left.filter("minor").select(*lists_by, "x")
+    other = left.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"))
+    met = minor.filter("rule < 2 or x.short").join(other, lists_by).filter("x.node < y.node or not too or (rule = 2 and not y.short)")
+    met = met.unionByName(minor.filter("rule = 2 and not x.short").join(other.filter("y.short and not too"), lists_by))
+    met = met.filter("x.comp != y.comp").filter(_can_match(percent)).filter(_may_overlap(percent))
+    pairs = settle(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+    drop(left)
     more = _verify(pairs, docs, k, percent)
     drop(pairs)
-    comps = settle(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(more)))
+    comps = settle(components(links.union(more)))
 
     found = same.join(comps, "node", "left").select("k1", "k2", "n", F.coalesce("comp", "node").alias("comp"))
     out = known.join(found, ["k1", "k2", "n"], "left")
