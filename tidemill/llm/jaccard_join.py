@@ -2,14 +2,15 @@
 
 Every document is the set of its distinct word shingles, as 64-bit hashes. A similar pair must share a token among the
 first ``n - ceil(t * n) + 1`` of both sets under any one global order. The order here is: rare tokens before frequent
-ones, then by hash. Equal sets are collapsed first; sets with the same size and the same prefix form one group, and only
+ones, then by hash; a set whose first tokens by hash are mostly frequent is read a second time, whole. Equal sets are collapsed first; sets with the same size and the same prefix form one group, and only
 groups meet in the token lists. Group pairs are filtered by size and position, expanded to members, filtered by an upper
 bound on the overlap from bitmaps and small histograms, and verified on the whole sets.
 
 Only connections are asked for, so pairs that are already connected are never listed: a first round links every group to
-the most promising leaders of its lists, and the next two link sets of different components that stand side by side in a
-shuffled list. Afterwards a list matters only if it still holds different components, and then only pairs with a side outside its largest component are formed. All those pairs are verified, so no link between two
-components is lost, however large a group of copies is.
+the most promising among the leaders of its lists and the groups beside it in them, each list shuffled. Afterwards a list
+matters only if it still holds different components. While those lists could form many pairs, sets of different components
+that stand side by side are linked, in a new order each time. At last all pairs with a side outside the largest component
+of a list are formed. All those are verified, so no link between two components is lost, however large a group of copies is.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ PARITY = 8
 #: Cells of the histogram that bounds the overlap of two sets.
 CELLS = 256
 #: Partners that a set tries in each round but the last, which tries all that are left.
-LEADERS = 2
-#: Rounds between neighbours, before all that is left is tried. It only moves cost.
-ROUNDS = 2
+LEADERS = 3
+#: Pairs an entry of a list that may be formed at last; beyond it, neighbours are linked first. It only moves cost.
+MANY = 40
+#: Entries of a list that are put in order at once.
+BLOCK = 5_000
 _NONE = 2**63 - 1
 _SET = "id long, n int, k1 long, k2 long, head array<long>, bits array<long>"
 _WHOLE = "node long, n int, cells binary, tokens array<long>"
@@ -153,21 +156,32 @@ def _best(tries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 
 
 def _divided(placed: DataFrame, comps: DataFrame) -> DataFrame:
-    """The entries of lists that hold several components, with their own (comp) and the largest of the list (main)."""
+    """The entries of lists that hold several components, with their own (comp), the largest of the list (main) and the entries of the list (often)."""
     placed = placed.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sides = placed.groupBy("rule", "token", "comp").agg(F.count("*").alias("size"))
-    main = sides.groupBy("rule", "token").agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"))
-    return placed.join(main.filter("sides > 1").select("rule", "token", "main"), ["rule", "token"])
+    main = sides.groupBy("rule", "token").agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"), F.sum("size").alias("often"))
+    return placed.join(main.filter("sides > 1").drop("sides"), ["rule", "token"])
+
+
+def _order(node: str, turn: int) -> Window:
+    """Each list in an order of its own, another one each turn; a long list in blocks."""
+    block = F.pmod(F.xxhash64(node, F.lit(turn)), F.expr(f"often div {BLOCK} + 1"))
+    return Window.partitionBy("rule", "token", block).orderBy(F.xxhash64(node, "token", F.lit(turn)), node)
 
 
 def _neighbours(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of different components that stand side by side in a list, each list in an order of its own, another one each turn."""
-    order = Window.partitionBy("rule", "token").orderBy(F.xxhash64("node", "token", F.lit(turn)), "node")
-    placed = placed.select("rule", "token", "node", F.struct("node", "n", "pos", "comp").alias("x"))
-    near = placed.withColumn("y", F.lag("x").over(order)).filter("x.comp != y.comp").filter(_can_match(percent))
+    """Pairs of different components that stand side by side in a list."""
+    placed = placed.select("rule", "token", "node", "often", F.struct("node", "n", "pos", "comp").alias("x"))
+    near = placed.withColumn("y", F.lag("x").over(_order("node", turn))).filter("x.comp != y.comp").filter(_can_match(percent))
     return near.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("shared"))
 
 
+def _work(placed: DataFrame) -> tuple[int, int]:
+    """Pairs that the lists could form, at most, and their entries."""
+    seen = placed.agg(F.sum(F.expr("if(comp != main, often, 0)")).alias("pairs"), F.count("*").alias("entries")).first()
+    return seen.pairs or 0, seen.entries
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Join documents on word-shingle similarity and return each one's component.
 
@@ -180,57 +194,57 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     all others and comes back as null. Rows with one id are one document. Other columns are ignored. An empty table gives no rows.
     """
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("id"), F.col(text_col).alias("text"))
-    heads = settle(docs.mapInArrow(_heads(k, percent), _SET))
-    same = settle(heads.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("node")))
+    heads = settle(docs.mapInArrow(_heads(k, percent), _SET).withColumn("row", F.monotonically_increasing_id()))
+    least = heads.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("id", "row")).alias("least"))
+    same = settle(least.select("k1", "k2", "n", F.col("least.id").alias("node"), "least.row"))
     prefix_sql = f"n - (({percent} * n + 99) div 100) + 1"
     prefix = F.expr(prefix_sql)
     head_size = F.expr(f"least(n, ({prefix_sql}) * 5 div 4 + 8)")
 
     known = settle(heads.select("id", "n", "k1", "k2"))
-    bits = settle(heads.filter("n > 0").join(same, ["k1", "k2", "n"]).filter("id = node").select("node", "n", "bits").dropDuplicates())
-    nodes = heads.join(same, ["k1", "k2", "n"]).filter("id = node").dropDuplicates(["node", "k1", "k2"])
-    entries = nodes.select("node", "n", F.posexplode("head").alias("at", "token"))
-    entries = settle(entries.withColumn("often", F.count("*").over(Window.partitionBy("token"))).filter("often > 1"))
+    sets = heads.join(same.select("node", "row"), "row")
+    bits = settle(sets.select("node", "n", "bits"))
+    tokens = sets.select("node", "n", F.posexplode("head").alias("at", "token"))
+    frequent = settle(tokens.groupBy("token").agg(F.count("*").alias("often")).filter(F.col("often") >= FREQUENT).select("token"))
+    put_last = tokens.join(frequent, "token").groupBy("node", "n").agg(F.collect_set("at").alias("last"))
+    put_last = settle(put_last.withColumn("short", F.size("last") > head_size - prefix))
+    # The prefix once frequent tokens are put last: from the head where it holds enough others, or else from the whole set.
+    enough = sets.join(put_last, ["node", "n"], "left").filter("not coalesce(short, false)")
+    first = F.expr(f"slice(if(last is null, head, filter(head, (x, i) -> not array_contains(last, i))), 1, {prefix_sql})")
+    enough = enough.select("node", "n", F.posexplode(first).alias("pos", "token"))
+    short = docs.join(put_last.filter("short").select(F.col("node").alias("id")).distinct(), "id").mapInArrow(_wholes(k), _WHOLE)
+    short = short.select("node", "n", F.explode("tokens").alias("token")).join(frequent.withColumn("late", F.lit(True)), "token", "left")
+    order = Window.partitionBy("node", "n").orderBy(F.col("late").isNotNull(), "token")
+    short = short.withColumn("pos", F.dense_rank().over(order) - 1).filter(F.col("pos") < prefix).select("node", "n", "pos", "token").distinct()
+    # An entry stays if the next smaller or the next larger set of its list is of a size that can match.
+    by_size = Window.partitionBy("token").orderBy("n")
+    lists = enough.unionByName(short)
+    lists = lists.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size), "often": F.count("*").over(Window.partitionBy("token"))})
+    lists = lists.filter(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
+    lists = settle(lists.select(F.lit(1).alias("rule"), "token", "node", "n", "pos", "often"))
     drop(heads)
-    frequent = entries.filter(F.col("often") >= FREQUENT)
-    put_last = frequent.groupBy("node").agg(F.sort_array(F.collect_set("at")).alias("last"), F.max("n").alias("n"))
-    put_last = put_last.select("node", "last", (F.size("last") > head_size - prefix).alias("short"))
-    marked = settle(entries.join(put_last, "node", "left").withColumn("short", F.coalesce("short", F.lit(False))))
-    # Order 1, between sets whose heads hold their whole prefix once frequent tokens are put last.
-    first = (
-        marked.filter((F.col("often") < FREQUENT) & ~F.col("short"))
-        .withColumn("pos", F.expr("`at` - coalesce(size(filter(last, x -> x < `at`)), 0)"))
-        .filter(F.col("pos") < prefix)
-        .select(F.lit(1).alias("rule"), "token", "node", "n", "pos", "short")
-    )
-    # Order 2, by hash alone, for pairs with a set that is mostly made of frequent tokens.
-    second = marked.filter(F.col("at") < prefix)
-    second = second.join(second.filter("short").select("token").distinct(), "token", "left_semi")
-    second = second.select(F.lit(2).alias("rule"), "token", "node", "n", F.col("at").alias("pos"), "short")
-    lists = settle(first.unionByName(second))
-    drop(entries)
-    drop(marked)
 
     # Sets of one size that stand at the same places of the same lists form a group, led by its least node.
     group = lists.groupBy("node", "n").agg(
         F.count("*").alias("tokens"),
-        F.expr("sum(xxhash64(rule, token, pos) >> 20)").alias("s"),
-        F.expr("bit_xor(xxhash64(token, rule, pos))").alias("x"),
+        F.expr("sum(xxhash64(token, pos) >> 20)").alias("s"),
+        F.expr("bit_xor(xxhash64(pos, token))").alias("x"),
     )
     groups = group.withColumn("gid", F.min("node").over(Window.partitionBy("n", "s", "x", "tokens"))).select("node", "gid", "n")
     groups = settle(groups.groupBy("node").agg(F.min("gid").alias("gid"), F.min("n").alias("n")))
-    led = lists.join(groups.filter("node = gid").select("node"), "node", "left_semi").withColumnRenamed("node", "gid")
-    lists_by = ["rule", "token"]
-    led = settle(led.withColumn("often", F.count("*").over(Window.partitionBy(lists_by))).filter("often > 1"))
+    led = settle(lists.join(groups.filter("node = gid").select("node"), "node", "left_semi").withColumnRenamed("node", "gid"))
     drop(lists)
+    lists_by = ["rule", "token"]
 
     # First round: leaders of each list, by size and by how common all that they share is (a text that others are copies of
-    # shares all of it), then the leader of each group for its members.
+    # shares all of it), the neighbour in it, then the leader of each group for its members.
     entry = F.struct("n", "pos", "gid")
     common = led.groupBy("gid").agg((F.sum(F.log("often")) / F.max(prefix)).alias("common"))
     leaders = led.join(common, "gid").groupBy(lists_by).agg(F.min(entry).alias("p"), F.max(F.struct("common", entry.alias("e"))).getField("e").alias("q"))
     leaders = leaders.select(*lists_by, F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
-    tries = led.select(*lists_by, entry.alias("x")).join(leaders, lists_by).filter("x.gid != y.gid").filter(_can_match(percent))
+    tries = led.select(*lists_by, entry.alias("x")).join(leaders, lists_by).select("x", "y")
+    beside = led.select("gid", *lists_by, "often", entry.alias("x")).withColumn("y", F.lag("x").over(_order("gid", 0)))
+    tries = tries.unionByName(beside.select("x", "y")).filter("x.gid != y.gid").filter(_can_match(percent))
     tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"))
     tries = settle(_best(tries, bits, percent).union(groups.filter("node != gid").select("node", "gid")))
     links = contract(_verify(tries, docs, k, percent), 2)
@@ -238,27 +252,31 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
 
     # From here on lists hold members, each with its own bitmap, and a group of several is a list too (rule 0).
     several = groups.join(groups.filter("node != gid").select("gid").distinct(), "gid", "left_semi")
-    several = several.select(F.lit(0).alias("rule"), F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"), F.lit(False).alias("short"))
+    several = several.select(F.lit(0).alias("rule"), F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"))
     placed = led.drop("often").join(groups.select("node", "gid"), "gid").drop("gid").unionByName(several)
     placed = settle(_divided(placed, labels(links)))
     drop(led)
 
-    # Next rounds: neighbours in the lists.
-    for turn in range(ROUNDS):
+    # While much is left: neighbours in the lists, as long as a round takes off a tenth of it.
+    (work, entries), before, turn = _work(placed), None, 0
+    while work > MANY * entries and (before is None or 10 * work <= 9 * before):
+        before, turn = work, turn + 1
         tries = settle(_best(_neighbours(placed, turn, percent), bits, percent))
         links = contract(links.union(_verify(tries, docs, k, percent)), 2)
         drop(tries)
-        after = settle(_divided(placed.drop("comp", "main"), labels(links)))
+        after = settle(_divided(placed.drop("comp", "main", "often"), labels(links)))
         drop(placed)
         placed = after
+        work, entries = _work(placed)
 
     # Last round: all that the lists still hold of different components.
-    left = settle(placed.join(bits, ["node", "n"]).select(*lists_by, F.struct("node", "n", "pos", "short", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
+    left = settle(placed.join(bits, ["node", "n"]).select(*lists_by, F.struct("node", "n", "pos", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
     drop(placed)
-    minor = left.filter("minor").select(*lists_by, "x")
-    other = left.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"))
-    met = minor.filter("rule < 2 or x.short").join(other, lists_by).filter("x.node < y.node or not too or (rule = 2 and not y.short)")
-    met = met.unionByName(minor.filter("rule = 2 and not x.short").join(other.filter("y.short and not too"), lists_by))
+    # Sizes that can match are one band apart at most.
+    band = F.expr(f"int(floor(ln(x.n) / ln({100 / percent})))")
+    minor = left.filter("minor").select(*lists_by, "x", F.explode(F.array(band - 1, band, band + 1)).alias("band"))
+    other = left.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"), band.alias("band"))
+    met = minor.join(other, [*lists_by, "band"]).filter("x.node < y.node or not too")
     met = met.filter("x.comp != y.comp").filter(_can_match(percent)).filter(_may_overlap(percent))
     pairs = settle(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
     drop(left)
