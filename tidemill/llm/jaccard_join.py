@@ -15,6 +15,7 @@ of a list are formed. All those are verified, so no link between two components
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -272,10 +273,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     # Last round: all that the lists still hold of different components.
     left = settle(placed.join(bits, ["node", "n"]).select(*lists_by, F.struct("node", "n", "pos", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
     drop(placed)
-    # Sizes that can match are one band apart at most.
-    band = F.expr(f"int(floor(ln(x.n) / ln({100 / percent})))")
-    minor = left.filter("minor").select(*lists_by, "x", F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    other = left.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"), band.alias("band"))
+    # Sets meet in bands of sizes, three times as wide (in the logarithm) as the sizes that can match; one side stands in all bands it can match.
+    band = lambda size: F.expr(f"int(floor(ln({size}) / {max(3 * math.log(100 / percent), 0.01)}))")
+    spans = F.explode(F.sequence(band(f"x.n * {percent} / 100"), band(f"x.n * 100 / {percent}")))
+    minor = left.filter("minor").select(*lists_by, "x", spans.alias("band"))
+    other = left.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"), band("x.n").alias("band"))
     met = minor.join(other, [*lists_by, "band"]).filter("x.node < y.node or not too")
     met = met.filter("x.comp != y.comp").filter(_can_match(percent)).filter(_may_overlap(percent))
     pairs = settle(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
