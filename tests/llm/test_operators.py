@@ -126,6 +126,22 @@ def test_line_index_is_reversible(spark):
     assert held(less.delete(two.select("doc"))) == set()
 
 
+def test_line_probes_are_dealt_over_tasks_of_bounded_size(spark, monkeypatch):
+    probe, most = linededup._probe, 100
+
+    def bounded(key, lines, filters):
+        assert lines.num_rows <= 2 * most
+        return probe(key, lines, filters)
+
+    monkeypatch.setattr(linededup, "TASK_PROBES", most)
+    monkeypatch.setattr(linededup, "_probe", bounded)
+    unique = [(i, "\n".join(f"line {j} of document {i}" for j in range(20))) for i in range(100)]
+    shared = [(i, "one line of many documents") for i in range(1000, 1600)] + [(None, "one line of many documents")] * 600
+    got = linededup.dedup_lines(spark.createDataFrame(unique + shared, "doc_id long, text string")).collect()
+    assert len(got) == 1300 and sum(r.n_dropped for r in got) == 1199
+    assert {r.doc_id for r in got if not r.n_dropped} == {*range(100), 1000}
+
+
 def _sql(name):
     c = duckdb.connect()
     for t in ("documents", "labels"):

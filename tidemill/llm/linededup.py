@@ -7,8 +7,9 @@ The index of a corpus has three parts, all in the shared folder:
 - filters: for each shard a cuckoo filter of the keys held by two documents or more. A filter supports deletion, and is
   asked before the exact table: a line whose key it does not know is kept without a lookup.
 
-A key's shard is a function of its hash. Where a shard has many references (a line that a third of all documents hold),
-its probes are dealt over several tasks that each get a copy of the shard's filter; counts are summed before they are shuffled.
+A key's shard is a function of its hash; there are as many as the keys and the references ask for. Where a shard still has many
+references (a line that a third of all documents hold), its probes are dealt over several tasks that each get a copy of the
+shard's filter; counts are summed before they are shuffled.
 """
 
 from __future__ import annotations
@@ -164,7 +165,8 @@ class LineIndex:
     @classmethod
     def _of(cls, references: DataFrame, shortest: int) -> LineIndex:
         counts = settle(references.groupBy("k1", "k2").agg(F.count_distinct("doc").alias("refs"), F.min("doc").alias("owner")).filter("refs > 1"))
-        shards = max(1, counts.count() // SHARD_KEYS + 1)
+        # All references are probed, those of unique lines as well.
+        shards = max(counts.count() // SHARD_KEYS, references.count() // TASK_PROBES) + 1
         filters = settle(counts.withColumn("shard", _shard(shards)).select("shard", "k2").groupBy("shard").applyInArrow(_build, "shard int, filter binary"))
         return cls(references, counts, filters, shards, shortest)
 
@@ -184,13 +186,15 @@ class LineIndex:
 
     def repeats(self) -> DataFrame:
         """References (doc, k1, k2) of lines that an earlier document holds: the filters are asked first, the exact counts then."""
-        sizes = self.counts.groupBy(_shard(self.shards).alias("shard")).agg(F.sum("refs").alias("refs"))
-        copies = sizes.select("shard", F.expr(f"cast(refs div {TASK_PROBES} as int) + 1").alias("copies"))
-        # One small row for each SHARD_KEYS repeated keys.
+        sizes = self.references.groupBy(_shard(self.shards).alias("shard")).agg(F.count("*").alias("refs"))
+        # Shards without a filter have no repeated key, so their references end here.
+        copies = sizes.join(self.filters.select("shard"), "shard").select("shard", F.expr(f"cast(refs div {TASK_PROBES} as int) + 1").alias("copies"))
+        # One small row for each shard.
         copies = F.broadcast(copies)
         filters = self.filters.join(copies, "shard").select("shard", "filter", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
         lines = self.references.withColumn("shard", _shard(self.shards)).join(copies, "shard")
-        lines = lines.select("shard", F.pmod(F.xxhash64("doc"), F.col("copies")).cast("int").alias("copy"), "doc", "k1", "k2")
+        # Dealt by place, not by document: rows of one document id (all null ids are one) may be many.
+        lines = lines.select("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("copies")).cast("int").alias("copy"), "doc", "k1", "k2")
         known = lines.groupBy("shard", "copy").cogroup(filters.groupBy("shard", "copy")).applyInArrow(_probe, _LINE)
         return known.join(self.counts, ["k1", "k2"]).filter("doc > owner").select("doc", "k1", "k2")
 
