@@ -253,6 +253,35 @@ def test_html_article_only(spark):
     assert got == {1: (want, len(want)), 2: ("", 0), None: ("", 0), 4: ("", 0)}
 
 
+ARTICLE = "<article><h1>Head</h1><p>Some text of it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form id=aspnetForm><nav><a href='/'>Home</a></nav>{ARTICLE}<footer>x</footer></form>",
+        f"<header>{ARTICLE}</header><aside>Beside.</aside>",
+        f"<aside>{ARTICLE}</aside>",
+        *(f"<div class='{c}'>{ARTICLE}</div>" for c in ("site has-sidebar", "layout-no-sidebar", "post-content with-comments", "content-widget", "sidebar")),
+        *(f"<article><h1>Head</h1><section id='{i}'><p>Some text of it.</p></section></article>" for i in ("related-work", "Social_impact", "share-capital", "notice-period", "Navigation")),
+        f"{ARTICLE}<div class='comments-area'><article class='comment'>First!</article></div>",
+        "<article><h1>Head</h1><p>Some text of it.</p><div class='comments'><article>First!</article></div><form>Your name</form></article>",
+        f"<aside><article>A teaser.</article></aside>{ARTICLE}<div class='share-buttons'>Share</div>",
+    ],
+)
+def test_html_article_is_kept_whatever_stands_around_it(page):
+    found = html_blocks.blocks(f"<body>{page}</body>")
+    keep = html_blocks.train().predict(html_blocks.features(found))
+    assert [b.text for b, k in zip(found, keep, strict=True) if k] == ["Head", "Some text of it."]
+
+
+def test_html_form_around_a_page_without_article():
+    text = " ".join(["Plain words of a page that are long enough to be its main text."] * 4)
+    for page in (f"<form id=aspnetForm><p>{text}</p></form>", f"<form><input type=hidden name=__VIEWSTATE><p>{text}</p><div class=menu>{text}</div><form>"):
+        found = html_blocks.blocks(page)
+        assert [b.text for b, k in zip(found, html_blocks.train().predict(html_blocks.features(found)), strict=True) if k] == [text]
+
+
 def _private(t):
     def luhn(s):
         return sum((int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) if i % 2 else int(c) for i, c in enumerate(reversed(s))) % 10 == 0

@@ -43,13 +43,20 @@ _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _HELD = frozenset("address article aside blockquote details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split())
+#: A class, id or role that names furniture: one of these words as a whole, with words of place ahead or of form behind.
 _HINT = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent\w*|gdpr|notice\w*|alert\w*|popup\w*|modal\w*|newsletter\w*|subscribe\w*|sidebar\w*|menu\w*|nav\w*|breadcrumbs?|"
-    r"foot(?:er)?|masthead|header|comments?|disqus\w*|respond|replies|share|sharing|social\w*|related\w*|recommend\w*|login|signup|paywall|toolbar|widget\w*|copyright|disclaimer)(?![a-z])",
+    r"(?:(?:site|page|global|main|top|bottom|left|right|primary|secondary|mobile|sticky|fixed|post|entry|article|block)[-_]?)*"
+    r"(?:ads?|advert(?:s|isements?|ising)?|sponsor(?:s|ed)?|promo(?:s|tions?)?|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|newsletters?|subscribe|subscriptions?|sidebars?|menus?|nav|navigation|breadcrumbs?|"
+    r"foot|footer|masthead|header|comments?|disqus|respond|replies|share|sharing|socials?|related|recommend(?:ed|ations?)?|login|signup|paywall|toolbars?|widgets?|copyright|disclaimer)"
+    r"(?:[-_]?(?:ads?|banners?|notices?|popups?|modals?|menus?|nav|navigation|comments?|widgets?|footer|header|bars?|boxes|box|blocks?|lists?|links?|buttons?|icons?|items?|posts?|articles|stories|threads?|forms?|areas?|slots?|units?|panels?|"
+    r"containers?|wrapper|wrap|inner|overlay|dialog|text|left|right|top|bottom|primary|secondary|[0-9]))*+",
     re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
+_ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+#: What no form holds but one that is put around a whole page, by element or by attributes.
+_PAGE = frozenset("nav article main footer".split())
+_PAGE_FORM = re.compile(r"(?i)aspnetForm|__VIEWSTATE")
 
 
 @dataclass
@@ -61,20 +68,37 @@ class _Text:
     furniture: bool
 
 
+def _hinted(name: str, attributes: str, inside: bool) -> bool:
+    """Whether a class, id or role names furniture. The ids of sections inside an article are those of its headings."""
+    found = [(kind.lower(), (a or b or c).split()) for kind, a, b, c in _ATTRIBUTE.findall(attributes)]
+    heading = inside and (name == "section" or any(kind == "class" and "section" in tokens for kind, tokens in found))
+    return any(len(x) <= 64 and _HINT.fullmatch(x) for kind, tokens in found if kind != "id" or not heading for x in tokens)
+
+
 def blocks(page: str) -> list[_Text]:
-    """The text blocks of a page in order, without those that are empty. Contents of scripts, styles and the like are left out."""
+    """The text blocks of a page in order, without those that are empty. Contents of scripts, styles and the like are left out.
+
+    Furniture around an article or main element doesn't count inside it if it is a form or header, if the element is main, or if no
+    article of the page stands in less. A form around the page is not furniture.
+    """
     out: list[_Text] = []
+    around: list[tuple[int, list[int]]] = []  # for each block, the furniture around its article, and the forms it is in
+    forms: list[int] = []
+    wide: set[int] = set()
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
-    main = furniture = 0
+    stack: list[tuple[str, bool, str]] = []
+    main = outside = 0
+    count = {"around": 0, "light": 0, "inside": 0}  # furniture around articles, headers around articles, furniture inside
     link = False
+    held_forms: list[int] = []
 
     def close() -> None:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
-                out.append(_Text(" ".join(words), len(words), len(html.unescape(" ".join(linked)).split()), main > 0, furniture > 0))
+                out.append(_Text(" ".join(words), len(words), len(html.unescape(" ".join(linked)).split()), main > 0, count["inside"] > 0 or (not main and count["around"] + count["light"] > 0)))
+                around.append((outside if main else 0, list(forms)))
             parts.clear()
             linked.clear()
 
@@ -116,25 +140,45 @@ def blocks(page: str) -> list[_Text]:
                 at = close_tag.end() if close_tag else n
             if name != "head":
                 continue
+        if forms and not ending and (name in _PAGE or (name == "input" and _PAGE_FORM.search(m[3]))):
+            wide.update(forms)
         if name not in _BLOCK:
             continue
         close()
         if name not in _HELD:
             continue
         if not ending:
-            hints = " ".join(x for found in _ATTRIBUTE.findall(m[3]) for x in found)
-            kind = (name, name in _MAIN, name in _FURNITURE or bool(_HINT.search(hints)))
-            stack.append(kind)
-            main += kind[1]
-            furniture += kind[2]
+            hint = name != "main" and _hinted(name, m[3], main > 0)
+            where = ""
+            if name == "form" and not hint:
+                where = "form"
+                forms.append(m.start())
+                if _PAGE_FORM.search(m[3]):
+                    wide.add(m.start())
+            elif hint or name in _FURNITURE:
+                where = "inside" if main else "light" if name == "header" and not hint else "around"
+                count[where] += 1
+            if name in _MAIN and not main:
+                outside = 0 if name == "main" else count["around"]
+                held_forms, forms = forms, []
+            main += name in _MAIN
+            stack.append((name, name in _MAIN, where))
         elif any(x[0] == name for x in stack):
             while True:
-                kind = stack.pop()
-                main -= kind[1]
-                furniture -= kind[2]
-                if kind[0] == name:
+                last, is_main, where = stack.pop()
+                main -= is_main
+                if is_main and not main:
+                    forms = held_forms
+                if where == "form":
+                    forms.pop()
+                elif where:
+                    count[where] -= 1
+                if last == name:
                     break
     close()
+    least = min((x for b, (x, _) in zip(out, around, strict=True) if b.main), default=0)
+    for b, (x, inside) in zip(out, around, strict=True):
+        b.furniture |= x > least or any(f not in wide for f in inside)
     return out
 
 
