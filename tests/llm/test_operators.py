@@ -282,6 +282,18 @@ def test_html_form_around_a_page_without_article():
         assert [b.text for b, k in zip(found, html_blocks.train().predict(html_blocks.features(found)), strict=True) if k] == [text]
 
 
+@pytest.mark.parametrize("name", ["math", "object", "noscript", "select", "button", "canvas", "audio", "video", "svg", "template"])
+def test_html_unclosed_element_hides_nothing_after_its_parent(name):
+    for inner in (f"<p>Ahead <{name}>x</p><p>After it.", f"<p>Ahead <{name}>x<p>After it.", f"<p>Ahead <{name}>x</p><p>After it.</p></article><article><{name}>y</{name}>"):
+        found = [b.text for b in html_blocks.blocks(f"<article>{inner}</article>")]
+        assert "After it." in found and found[0] in ("Ahead", "Ahead x")
+
+
+def test_html_formulas_are_kept_and_controls_left_out():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p><noscript>Plain.</noscript><button><div>Press</div></button><select><option>a<option>b</select><template><p>t<template>u</template></p></template>End</article>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["Let x=2 hold.", "Plain.End"]
+
+
 def _private(t):
     def luhn(s):
         return sum((int(c) * 2 - 9 if int(c) > 4 else int(c) * 2) if i % 2 else int(c) for i, c in enumerate(reversed(s))) % 10 == 0

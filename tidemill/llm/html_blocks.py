@@ -38,7 +38,10 @@ LABELLED = [
 
 _MAIN = frozenset("article main".split())
 _FURNITURE = frozenset("nav header footer aside form dialog menu".split())
-_RAW = frozenset("script style title textarea noscript template iframe svg select button head object canvas audio video math".split())
+#: Elements whose contents HTML reads as raw text; without an end tag they last to the end of the page.
+_RAW = frozenset("script style title textarea iframe".split())
+#: Form controls and inert parts, whose contents are left out as well; without an end tag of their own they end at the next block-level tag.
+_HIDDEN = frozenset("select button template".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -57,6 +60,9 @@ _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)
 #: What no form holds but one that is put around a whole page, by element or by attributes.
 _PAGE = frozenset("nav article main footer".split())
 _PAGE_FORM = re.compile(r"(?i)aspnetForm|__VIEWSTATE")
+_EDGE = re.compile(rf"<(/?)({'|'.join(sorted(_BLOCK - {'option', 'head'}))})(?=[\s/>])", re.IGNORECASE)
+#: Block-level elements that have to be ended.
+_ENDED = _HELD | frozenset("body caption center dir fieldset figcaption h1 h2 h3 h4 h5 h6 hgroup html pre summary".split())
 
 
 @dataclass
@@ -68,6 +74,30 @@ class _Text:
     furniture: bool
 
 
+def _ends(page: str, name: str) -> dict[int, tuple[int, int]]:
+    """The limits of the end tags of all elements of a name that have one, by the start of the element. Only templates are nested."""
+    out: dict[int, tuple[int, int]] = {}
+    opened: list[int] = []
+    for m in re.finditer(f"<(/?){name}(?=[\\s/>])[^>]*>?", page, re.IGNORECASE):
+        if not m[1]:
+            opened = [*opened, m.start()] if name == "template" and len(opened) < 64 else [m.start()]
+        elif opened:
+            out[opened.pop()] = m.span()
+    return out
+
+
+def _after(page: str, name: str, start: int, at: int, ends: dict[int, tuple[int, int]]) -> int:
+    """Where the page goes on after a hidden element that starts at ``start`` and whose contents start at ``at``."""
+    last = ends.get(start)
+    depth, first = 0, len(page)
+    for m in _EDGE.finditer(page, at, last[0] if last else len(page)):
+        first = min(first, m.start())
+        depth += (-1 if m[1] else 1) if m[2].lower() in _ENDED else 0
+        if depth < 0 or not last:  # its parent ends first, or it has no end
+            return first
+    return last[1] if last else first
+
+
 def _hinted(name: str, attributes: str, inside: bool) -> bool:
     """Whether a class, id or role names furniture. The ids of sections inside an article are those of its headings."""
     found = [(kind.lower(), (a or b or c).split()) for kind, a, b, c in _ATTRIBUTE.findall(attributes)]
@@ -76,7 +106,7 @@ def _hinted(name: str, attributes: str, inside: bool) -> bool:
 
 
 def blocks(page: str) -> list[_Text]:
-    """The text blocks of a page in order, without those that are empty. Contents of scripts, styles and the like are left out.
+    """The text blocks of a page in order, without those that are empty. Contents of scripts, styles, form controls and the like are left out.
 
     Furniture around an article or main element doesn't count inside it if it is a form or header, if the element is main, or if no
     article of the page stands in less. A form around the page is not furniture.
@@ -91,6 +121,7 @@ def blocks(page: str) -> list[_Text]:
     main = outside = 0
     count = {"around": 0, "light": 0, "inside": 0}  # furniture around articles, headers around articles, furniture inside
     link = False
+    ends: dict[str, dict[int, tuple[int, int]]] = {}
     held_forms: list[int] = []
 
     def close() -> None:
@@ -135,11 +166,16 @@ def blocks(page: str) -> list[_Text]:
         if name == "a":
             link = not ending
         if name in _RAW:
-            if not ending and name != "head" and not m[3].endswith("/"):
+            if not ending and not m[3].endswith("/"):
                 close_tag = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
                 at = close_tag.end() if close_tag else n
-            if name != "head":
-                continue
+            continue
+        if name in _HIDDEN:
+            if not ending:
+                if name not in ends:
+                    ends[name] = _ends(page, name)
+                at = _after(page, name, m.start(), at, ends[name])
+            continue
         if forms and not ending and (name in _PAGE or (name == "input" and _PAGE_FORM.search(m[3]))):
             wide.update(forms)
         if name not in _BLOCK:
@@ -262,7 +298,7 @@ def extract(pages: DataFrame, tree: DecisionTree | None = None, id_col: str = "p
 
     Character references are decoded, white space in a block becomes one space, blocks are joined in page order by one space.
     A null or empty page, or one without main text, gives an empty text. Unclosed elements last until an enclosing one ends, or to the end of the page;
-    an unclosed comment, tag or script hides the rest. Null ids and urls stay null, repeated rows are extracted each for itself,
+    an unclosed comment, script, style, title, text area or inner frame hides the rest, an unclosed button, list of choices or template what is ahead of the next block. Null ids and urls stay null, repeated rows are extracted each for itself,
     other columns are ignored, an empty table gives no rows.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
