@@ -215,6 +215,19 @@ def test_decontamination_finds_copies_and_paraphrases(spark, docs):
     assert latent_decontam.contaminated(docs.limit(5), items.limit(0)).count() == 0
 
 
+def test_decontamination_finds_copies_beside_rare_tokens_of_a_large_corpus(spark, docs, monkeypatch):
+    weights = latent_decontam.term_weights(docs.select(F.col("doc_id").alias("id"), "text"))
+    # Terms that this corpus doesn't have weigh what a term of one in 150 million passages does.
+    weights[weights == weights.max()] = np.log(150e6 / 2) + np.log(latent_decontam.COMMON)
+    monkeypatch.setattr(latent_decontam, "term_weights", lambda _: weights)
+    items = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    rare = lambda i, side: " ".join(f"{side}{i}q{j}z" for j in range(40))
+    rows = [(r.item_id, f"{rare(r.item_id, 'u')} {r.text} {rare(r.item_id, 'v')}") for r in items.collect()]
+    found = latent_decontam.contaminated(spark.createDataFrame([*rows, (-1, rare(1, "u"))], "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(i, i) for i, _ in rows}
+    assert -1 not in {r.doc_id for r in found}
+
+
 def test_longest_common_subsequence():
     random.seed(1)
     for _ in range(200):

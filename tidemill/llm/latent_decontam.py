@@ -178,36 +178,61 @@ def common_length(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+@dataclass
+class _Plan:
+    """The passages of a block that are compared with windows of one size.
+
+    A window's latent vector is the sum of its terms' vectors, so its product with a passage's is the sum of theirs: ``against`` has a row
+    for each term. ``weight`` has the squared weights of a passage's own terms. A window's norm is that of the words it shares with the
+    passage's vocabulary, so that foreign words beside a copy can't hide it. As a term's product is at most ``scale`` times that squared
+    weight, products of at least ``least`` are needed, and ``bound`` sums to 1 at least over the terms of any window that has one.
+    """
+
+    passages: list[_Passage]
+    size: int
+    row: np.ndarray
+    against: np.ndarray
+    weight: np.ndarray
+    least: np.ndarray
+    bound: np.ndarray
+
+
+def _plans(block: LatentBlock, weights: np.ndarray) -> Iterator[_Plan]:
+    for size in WINDOWS:
+        low = max([w for w in WINDOWS if w < size], default=0)
+        mine = [i for i, p in enumerate(block.passages) if low < len(p.hashes) <= size]
+        if not mine:
+            continue
+        against = np.ascontiguousarray(block.space @ block.vectors[mine].T)
+        weight = np.zeros_like(against)
+        for j, i in enumerate(mine):
+            terms = np.unique((block.passages[i].hashes >> np.uint64(46)).astype(np.int64))
+            weight[block.row[terms], j] = weights[terms] ** 2
+        scale = np.max(against / np.maximum(weight, 1e-9), axis=0, where=weight > 0, initial=1e-9)
+        # A little less, as products are rounded.
+        least = (0.999 * COSINE**2 / scale).astype(np.float32)
+        yield _Plan([block.passages[i] for i in mine], size, block.row, against, weight, least, np.maximum(against / least, 0).max(axis=1))
+
+
 def _search(sent):
     def run(batches):
         blocks, weights = sent.value
-        held = [np.append((x.row < len(x.space) - 1), False) for x in blocks]
-        plans = []
-        for x in blocks:
-            for size in WINDOWS:
-                low = max([w for w in WINDOWS if w < size], default=0)
-                mine = np.array([i for i, p in enumerate(x.passages) if low < len(p.hashes) <= size], np.int64)
-                if len(mine):
-                    plans.append((x, size, mine, np.ascontiguousarray(x.space @ x.vectors[mine].T)))
+        plans = [p for x in blocks for p in _plans(x, weights)]
         for batch in batches:
             found: list[tuple] = []
             for at, hashes, terms, first in _words(batch.column("text")):
-                weight = weights[terms].astype(np.float64) ** 2
-                whole = np.concatenate([[0], np.cumsum(weight)])
                 count = np.diff(first)
-                parts = {id(x): np.concatenate([[0], np.cumsum(weight * inside[terms])]) for x, inside in zip(blocks, held, strict=True)}
-                for block, size, mine, against in plans:
-                    part, step = parts[id(block)], size // 4
-                    n = np.where(count > 0, np.maximum(-(-(count - size) // step), 0) + 1, 0)
+                for plan in plans:
+                    rows, step = plan.row[terms], plan.size // 4
+                    part = np.concatenate([[0], np.cumsum(plan.bound[rows], dtype=np.float64)])
+                    n = np.where(count > 0, np.maximum(-(-(count - plan.size) // step), 0) + 1, 0)
                     doc = np.repeat(np.arange(len(count)), n)
                     start = first[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)) * step
-                    end = np.minimum(start + size, first[doc + 1])
-                    norm = whole[end] - whole[start]
-                    # The terms outside the block add nothing to a product, so the others' share bounds the cosine.
-                    may = np.flatnonzero(part[end] - part[start] >= COSINE**2 * np.maximum(norm, 1e-9))
+                    end = np.minimum(start + plan.size, first[doc + 1])
+                    may = np.flatnonzero(part[end] - part[start] >= 0.999)
                     for some in np.array_split(may, len(may) // 512 + 1):
                         if len(some):
-                            found += _compare(block, against, mine, size, hashes, terms, first, at, doc[some], start[some], end[some], norm[some])
+                            found += _compare(plan, hashes, rows, first, at, doc[some], start[some], end[some])
             ids = batch.column("id")
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array([f[0] for f in found], pa.int64())), *(pa.array([f[i] for f in found], kind) for i, kind in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64())))],
@@ -217,24 +242,24 @@ def _search(sent):
     return run
 
 
-def _compare(block: LatentBlock, against, mine, size, hashes, terms, first, at, doc, start, end, norm) -> list[tuple]:
-    """Windows that hold a passage, as (row, item, cosine, common share, answer share).
-
-    A window's latent vector is the sum of its terms' vectors, so its product with a passage's is the sum of theirs: ``against`` has a row for each term.
-    """
-    where = start[:, None] + np.arange(size)
-    rows = np.where(where < end[:, None], block.row[terms[np.minimum(where, len(terms) - 1)]], len(block.space) - 1)
-    cosine = against[rows].sum(axis=1) / np.sqrt(norm)[:, None]
+def _compare(plan: _Plan, hashes, rows, first, at, doc, start, end) -> list[tuple]:
+    """Windows that hold a passage, as (row, item, cosine, common share, answer share)."""
+    where = start[:, None] + np.arange(plan.size)
+    held = np.where(where < end[:, None], rows[np.minimum(where, len(rows) - 1)], len(plan.against) - 1)
+    products = plan.against[held].sum(axis=1)
     out = []
-    for i, j in zip(*np.nonzero(cosine >= COSINE), strict=True):
-        p = block.passages[mine[j]]
+    for i, j in zip(*np.nonzero(products >= plan.least), strict=True):
+        cosine = products[i, j] / np.sqrt(max(plan.weight[held[i], j].sum(), 1e-9))
+        if cosine < COSINE:
+            continue
+        p = plan.passages[j]
         # The passage may begin and end outside the window.
-        around = hashes[max(first[doc[i]], start[i] - size // 2) : min(first[doc[i] + 1], end[i] + size // 2)].tolist()
+        around = hashes[max(first[doc[i]], start[i] - plan.size // 2) : min(first[doc[i] + 1], end[i] + plan.size // 2)].tolist()
         common = common_length(p.hashes.tolist(), around) / len(p.hashes)
         if common >= PARAPHRASE:
             answer = common_length(p.answer.tolist(), around) / len(p.answer) if len(p.answer) else 0.0
             if common >= COPY or answer >= ANSWER:
-                out.append((at + doc[i], p.item, float(min(cosine[i, j], 1.0)), common, answer))
+                out.append((at + doc[i], p.item, float(min(cosine, 1.0)), common, answer))
     return out
 
 
