@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import sys
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -57,6 +58,7 @@ def delimited_records(body: Column, names: list[str], sep: str = ",", header: bo
 
 
 def rows(text: str, names: list[str], sep: str, header: bool) -> Iterator[dict[str, str | None]]:
+    csv.field_size_limit(sys.maxsize)  # a cell may hold a whole document
     lines = (x for x in csv.reader(io.StringIO(text, newline=""), delimiter=sep) if x)
     if header:
         first = next(lines, [])
