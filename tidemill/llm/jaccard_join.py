@@ -1,16 +1,16 @@
 """N-gram Jaccard join by grouped prefix filtering.
 
 Every document is the set of its distinct word shingles, as 64-bit hashes. A similar pair must share a token among the
-first ``n - ceil(t * n) + 1`` of both sets under any one global order. The order here is: rare tokens before frequent
-ones, then by hash; a set whose first tokens by hash are mostly frequent is read a second time, whole. Equal sets are collapsed first; sets with the same size and the same prefix form one group, and only
-groups meet in the token lists. Group pairs are filtered by size and position, expanded to members, filtered by an upper
-bound on the overlap from bitmaps and small histograms, and verified on the whole sets.
+first ``n - ceil(t * n) + 1`` of both sets under any one global order. The order here puts the most frequent tokens of the
+corpus behind all others. Equal sets are collapsed first; sets with the same size and the same prefix form one group, and
+only groups meet in the token lists. Group pairs are filtered by size, by position and by parity bitmaps (with the spread of
+a group's members around its leader), expanded to members, filtered by the members' own bitmaps and verified on whole sets.
 
 Only connections are asked for, so pairs that are already connected are never listed: a first round links every group to
-the most promising among the leaders of its lists and the groups beside it in them, each list shuffled. Afterwards a list
-matters only if it still holds different components. While those lists could form many pairs, sets of different components
-that stand side by side are linked, in a new order each time. At last all pairs with a side outside the largest component
-of a list are formed. All those are verified, so no link between two components is lost, however large a group of copies is.
+leaders of its lists, and every member to the leader of its group. Afterwards a list matters only if it still holds
+different components. While those lists could form very many pairs, sets of different components that stand side by side in
+a shuffled list are linked. At last all pairs with a side outside the largest component of a list are formed. All those are
+verified, so no link between two components is lost, however large a group of copies is.
 """
 
 from __future__ import annotations
@@ -27,21 +27,21 @@ from tidemill.llm import textkit
 from tidemill.llm.components import components, contract, labels
 from tidemill.llm.stage import drop, settle
 
-#: A token in this many sets' heads or more goes to the end of the order. It only moves cost; any value gives the same result.
-FREQUENT = 64
+#: Tokens that so many documents have in their heads go to the end of the order, but no more than LATE of them, the most frequent
+#: ones: so many are collected and sent to the tasks at most (8 bytes each). Both only move cost; any order gives the same result.
+FREQUENT, LATE = 64, 1 << 20
 #: 64-bit words of a set's parity bitmap: two sets differ in as many elements at least as their bitmaps differ in bits.
 PARITY = 8
-#: Cells of the histogram that bounds the overlap of two sets.
-CELLS = 256
 #: Partners that a set tries in each round but the last, which tries all that are left.
-LEADERS = 3
-#: Pairs an entry of a list that may be formed at last; beyond it, neighbours are linked first. It only moves cost.
-MANY = 40
+LEADERS = 2
+#: Pairs an entry of a list that may be formed at last, on average; beyond it, neighbours are linked first. It only moves cost.
+MANY = 400
 #: Entries of a list that are put in order at once.
 BLOCK = 5_000
 _NONE = 2**63 - 1
-_SET = "id long, n int, k1 long, k2 long, head array<long>, bits array<long>"
-_WHOLE = "node long, n int, cells binary, tokens array<long>"
+_SET = "id long, n int, k1 long, k2 long, g long, prefix array<long>, bits array<long>"
+_WHOLE = "node long, n int, tokens array<long>"
+_LIST = ["rule", "token"]
 
 
 def _prefix_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -49,7 +49,7 @@ def _prefix_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def _head_size(n: np.ndarray | int, percent: int) -> np.ndarray | int:
-    """Tokens kept per set in the first pass: a quarter more than the prefix, as frequent ones will be put last."""
+    """Tokens of a set that are counted: a quarter more than the prefix, as frequent ones will be put last."""
     return np.minimum(n, _prefix_size(n, percent) * 5 // 4 + 8)
 
 
@@ -71,109 +71,119 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(limits), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
 
 
-def _heads(k: int, percent: int):
+def _counts(k: int, percent: int):
+    """Tokens in the heads of a batch's documents, counted."""
+
     def run(batches):
         for batch in batches:
-            ids = batch.column("id")
-            for at, sets in _sets(batch.column("text"), k):
-                n = np.array([len(x) for x in sets], np.int32)
-                mixed = [textkit._mix(x.view(np.uint64)) for x in sets]
-                k1 = np.array([np.add.reduce(x, dtype=np.uint64) for x in mixed], np.uint64).view(np.int64)
-                k2 = np.array([np.bitwise_xor.reduce(x) if len(x) else 0 for x in mixed], np.uint64).view(np.int64)
-                heads = _lists([x[:s] for x, s in zip(sets, _head_size(n, percent), strict=True)])
-                bits = _lists([np.packbits(np.bincount(x.view(np.uint64) >> np.uint64(9) & np.uint64(64 * PARITY - 1), minlength=64 * PARITY) & 1).view(np.int64) for x in sets])
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), pa.array(n), pa.array(k1), pa.array(k2), heads, bits], ["id", "n", "k1", "k2", "head", "bits"])
+            heads = [x[: _head_size(len(x), percent)] for _, sets in _sets(batch.column("text"), k) for x in sets if len(x)]
+            tokens, counts = np.unique(np.concatenate(heads), return_counts=True) if heads else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts.astype(np.int64))], ["token", "n"])
 
     return run
 
 
-def _wholes(k: int):
+def _described(k: int, percent: int, late):
+    """Each document's set: its size, two hashes of the whole, a hash of the prefix, the prefix, and the parity bitmap."""
+
+    def one(x: np.ndarray, is_late: np.ndarray) -> tuple:
+        size = _prefix_size(len(x), percent)
+        prefix = (np.concatenate([x[~is_late], x[is_late]]) if is_late.any() else x)[:size] if len(x) else x
+        mixed = textkit._mix(x.view(np.uint64))
+        whole = np.add.reduce(mixed, dtype=np.uint64), np.bitwise_xor.reduce(mixed) if len(x) else np.uint64(0)
+        with np.errstate(over="ignore"):
+            place = textkit._mix(prefix.view(np.uint64) + textkit._mix(np.arange(len(prefix), dtype=np.uint64)))
+        bits = np.packbits(np.bincount(x.view(np.uint64) >> np.uint64(9) & np.uint64(64 * PARITY - 1), minlength=64 * PARITY) & 1).view(np.int64)
+        return *whole, np.add.reduce(place, dtype=np.uint64), prefix, bits
+
     def run(batches):
+        last = late.value
         for batch in batches:
             ids = batch.column("id")
             for at, sets in _sets(batch.column("text"), k):
-                n = np.array([len(x) for x in sets], np.int32)
-                cells = [np.bincount(x.view(np.uint64) >> np.uint64(7) & np.uint64(CELLS - 1), minlength=CELLS).astype("<u4").tobytes() for x in sets]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), pa.array(n), pa.array(cells, pa.binary()), _lists(sets)], ["node", "n", "cells", "tokens"])
+                flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+                hit = np.minimum(np.searchsorted(last, flat), max(len(last) - 1, 0))
+                is_late = np.split(last[hit] == flat if len(last) else np.zeros(len(flat), bool), np.cumsum([len(x) for x in sets])[:-1])
+                k1, k2, g, prefix, bits = zip(*map(one, sets, is_late), strict=True)
+                numbers = (pa.array(np.array(c, np.uint64).view(np.int64)) for c in (k1, k2, g))
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), pa.array(np.array([len(x) for x in sets], np.int32)), *numbers, _lists(list(prefix)), _lists(list(bits))], ["id", "n", "k1", "k2", "g", "prefix", "bits"])
 
     return run
 
 
-def _within_bound(percent: int):
-    """Keep pairs whose histograms allow the overlap that the threshold needs."""
-
+def _wholes(k: int):
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, CELLS) for c in ("ca", "cb"))
-            most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-            total = x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)
-            keep = pa.array((100 + percent) * most >= percent * total)
-            yield batch.select(["a", "b"]).filter(keep)
+            ids = batch.column("id")
+            for at, sets in _sets(batch.column("text"), k):
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(sets)), pa.array(np.array([len(x) for x in sets], np.int32)), _lists(sets)], ["node", "n", "tokens"])
 
     return run
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are similar enough."""
-    nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wholes = settle(docs.join(nodes, "id").mapInArrow(_wholes(k), _WHOLE))
-    cells = wholes.select("node", "cells")
-    near = (
-        pairs.join(cells.select(F.col("node").alias("a"), F.col("cells").alias("ca")), "a")
-        .join(cells.select(F.col("node").alias("b"), F.col("cells").alias("cb")), "b")
-        .mapInArrow(_within_bound(percent), "a long, b long")
-    )
-    near = settle(near)
-    sides = [wholes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}")) for c in "ab"]
-    both = F.size(F.array_intersect("ta", "tb"))
-    links = settle(near.join(sides[0], "a").join(sides[1], "b").filter((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
-    drop(wholes)
-    drop(near)
-    return links
+class _Verifier:
+    """Verifies pairs (a, b) of nodes on their whole sets. The sets that were needed once are kept for later rounds."""
+
+    def __init__(self, docs: DataFrame, k: int, percent: int):
+        self.docs, self.k, self.percent, self.held = docs, k, percent, []
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        for known in self.held:
+            nodes = nodes.join(known.select("node"), "node", "left_anti")
+        nodes = nodes.withColumnRenamed("node", "id")
+        # The texts are dealt by id in the first round, at every size; later ones ask for few.
+        nodes = nodes if self.held else nodes.hint("merge")
+        self.held.append(settle(self.docs.join(nodes, "id").mapInArrow(_wholes(self.k), _WHOLE)))
+        wholes = self.held[0]
+        for more in self.held[1:]:
+            wholes = wholes.union(more)
+        sides = [wholes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}")) for c in "ab"]
+        both = F.size(F.array_intersect("ta", "tb"))
+        enough = (100 + self.percent) * both >= self.percent * (F.col("na") + F.col("nb"))
+        return settle(pairs.join(sides[0], "a").join(sides[1], "b").filter(enough).select("a", "b"))
+
+    def close(self) -> None:
+        for known in self.held:
+            drop(known)
 
 
 def _can_match(percent: int) -> F.Column:
     """Size and position filters for two entries x and y of one token's list."""
     least = f"({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent}"
-    return F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {least}")
+    return F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and least(x.n - x.pos, y.n - y.pos) >= {least}")
 
 
-_DIFFER = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(PARITY))
+_DIFFER = "(" + " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(PARITY)) + ")"
 
 
-def _may_overlap(percent: int) -> F.Column:
-    """The bound on the overlap that the parity bitmaps of x and y leave."""
-    return F.expr(f"{100 + percent} * (x.n + y.n - ({_DIFFER})) >= {2 * percent} * (x.n + y.n)")
+def _may_overlap(percent: int, spread: str = "0") -> F.Column:
+    """The bound on the overlap that the parity bitmaps of x and y leave; members of a group may be nearer by the spreads."""
+    return F.expr(f"{100 + percent} * (x.n + y.n - {_DIFFER} + {spread}) >= {2 * percent} * (x.n + y.n)")
 
 
 def _best(tries: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b, shared), the most promising LEADERS for each a."""
     sides = [bits.select(F.col("node").alias(c), F.struct("n", "bits").alias(name)) for c, name in (("a", "x"), ("b", "y"))]
     tries = tries.join(sides[0], "a").join(sides[1], "b").filter(_may_overlap(percent)).select("a", "b", "shared", F.expr(_DIFFER).alias("differ"))
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "differ", "b"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("differ", F.desc("shared"), "b"))
     return tries.withColumn("r", rank).filter(F.col("r") <= LEADERS).select("a", "b")
 
 
 def _divided(placed: DataFrame, comps: DataFrame) -> DataFrame:
     """The entries of lists that hold several components, with their own (comp), the largest of the list (main) and the entries of the list (often)."""
     placed = placed.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    sides = placed.groupBy("rule", "token", "comp").agg(F.count("*").alias("size"))
-    main = sides.groupBy("rule", "token").agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"), F.sum("size").alias("often"))
-    return placed.join(main.filter("sides > 1").drop("sides"), ["rule", "token"])
-
-
-def _order(node: str, turn: int) -> Window:
-    """Each list in an order of its own, another one each turn; a long list in blocks."""
-    block = F.pmod(F.xxhash64(node, F.lit(turn)), F.expr(f"often div {BLOCK} + 1"))
-    return Window.partitionBy("rule", "token", block).orderBy(F.xxhash64(node, "token", F.lit(turn)), node)
+    sides = placed.groupBy(*_LIST, "comp").agg(F.count("*").alias("size"), F.max("mixed").alias("mixed"))
+    main = sides.groupBy(*_LIST).agg(F.max(F.struct("size", "comp")).getField("comp").alias("main"), F.count("*").alias("sides"), F.sum("size").alias("often"), F.max("mixed").alias("any"))
+    return placed.join(main.filter("sides > 1 or any and often > 1").drop("sides", "any"), _LIST)
 
 
 def _neighbours(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of different components that stand side by side in a list."""
-    placed = placed.select("rule", "token", "node", "often", F.struct("node", "n", "pos", "comp").alias("x"))
-    near = placed.withColumn("y", F.lag("x").over(_order("node", turn))).filter("x.comp != y.comp").filter(_can_match(percent))
+    """Pairs of different components that stand side by side in a list: each list in an order of its own, another one each turn; a long list in blocks."""
+    block = F.pmod(F.xxhash64("node", F.lit(turn)), F.expr(f"often div {BLOCK} + 1"))
+    order = Window.partitionBy(*_LIST, block).orderBy(F.xxhash64("node", "token", F.lit(turn)), "node")
+    placed = placed.select(*_LIST, "node", "often", F.struct("node", "n", "pos", "comp").alias("x"))
+    near = placed.withColumn("y", F.lag("x").over(order)).filter("x.comp != y.comp").filter(_can_match(percent))
     return near.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("shared"))
 
 
@@ -183,6 +193,55 @@ def _work(placed: DataFrame) -> tuple[int, int]:
     return seen.pairs or 0, seen.entries
 
 
+def _live(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries (token, node, n, pos) of lists in which another one has a size that can match, with the list's length (often)."""
+    shared = entries.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
+    entries = settle(entries.join(shared.hint("merge"), "token"))
+    # By the sizes that a list has, not by its entries; a size that two entries have matches itself.
+    sizes = entries.groupBy("token", "n").agg(F.count("*").alias("same"))
+    by_size = Window.partitionBy("token").orderBy("n")
+    sizes = sizes.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+    met = sizes.filter(f"same > 1 or 100 * below >= {percent} * n or 100 * n >= {percent} * above").select("token", "n")
+    out = settle(entries.join(met.hint("merge"), ["token", "n"]).select(F.lit(1).alias("rule"), "token", "node", "n", "pos", "often"))
+    drop(entries)
+    return out
+
+
+def _first_tries(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, shared) of a group and a leader of one of its lists: the least by size, and the one whose lists are the most common
+    (a text that others are copies of shares all of it)."""
+    entry = F.struct("n", "pos", "node")
+    common = lists.groupBy("node").agg(F.avg(F.log("often")).alias("common"), F.count("*").alias("many"))
+    common = common.select("node", F.expr("common * sqrt(many)").alias("common"))
+    leaders = lists.join(common, "node").groupBy("token").agg(F.min(entry).alias("p"), F.max(F.struct("common", entry.alias("e"))).getField("e").alias("q"))
+    leaders = leaders.select("token", F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
+    tries = lists.select("token", entry.alias("x")).join(leaders.hint("merge"), "token").filter("x.node != y.node").filter(_can_match(percent))
+    return tries.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("shared"))
+
+
+def _left(placed: DataFrame, members: DataFrame, spreads: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members of different components that the lists still hold and no filter excludes."""
+    leaders = members.select("node", "n", "bits").join(spreads, "node", "left").withColumn("spread", F.coalesce("spread", F.lit(0)))
+    entry = F.struct("node", "n", "pos", "comp", "bits", F.expr("if(rule = 1, spread, 0)").alias("spread"), "mixed")
+    left = settle(placed.join(leaders, ["node", "n"]).select(*_LIST, entry.alias("x"), F.expr("comp != main or mixed").alias("minor")))
+    # Sets meet in bands of sizes, three times as wide (in the logarithm) as the sizes that can match; one side stands in all bands it can match.
+    band = lambda size: F.expr(f"int(floor(ln({size}) / {max(3 * math.log(100 / percent), 0.01)}))")
+    spans = F.explode(F.sequence(band(f"x.n * {percent} / 100"), band(f"x.n * 100 / {percent}")))
+    minor = left.filter("minor").select(*_LIST, "x", spans.alias("band"))
+    other = left.select(*_LIST, F.col("x").alias("y"), F.col("minor").alias("too"), band("x.n").alias("band"))
+    met = minor.join(other, [*_LIST, "band"]).filter("(x.node < y.node or not too) and x.node != y.node")
+    met = met.filter("x.comp != y.comp or x.mixed or y.mixed").filter(_can_match(percent)).filter(_may_overlap(percent, "x.spread + y.spread"))
+    met = settle(met.select("rule", F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+    drop(left)
+    # Group pairs are expanded to members, which are compared by their own bitmaps.
+    own = members.join(comps, "node", "left").select("gid", F.struct("node", "n", "bits", F.coalesce("comp", "node").alias("comp")).alias("x"))
+    pairs = met.filter("rule = 1").join(own.withColumnRenamed("gid", "a"), "a").join(own.select(F.col("gid").alias("b"), F.col("x").alias("y")), "b")
+    pairs = pairs.filter("x.comp != y.comp").filter(_may_overlap(percent)).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    out = settle(pairs.union(met.filter("rule = 0").select("a", "b")).distinct())
+    drop(met)
+    return out
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Join documents on word-shingle similarity and return each one's component.
 
@@ -194,100 +253,63 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     input row. A null, empty or blank text has no shingles and is linked with nothing. A null id counts as one document behind
     all others and comes back as null. Rows with one id are one document. Other columns are ignored. An empty table gives no rows.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("id"), F.col(text_col).alias("text"))
-    heads = settle(docs.mapInArrow(_heads(k, percent), _SET).withColumn("row", F.monotonically_increasing_id()))
-    least = heads.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("id", "row")).alias("least"))
-    same = settle(least.select("k1", "k2", "n", F.col("least.id").alias("node"), "least.row"))
-    prefix_sql = f"n - (({percent} * n + 99) div 100) + 1"
-    prefix = F.expr(prefix_sql)
-    head_size = F.expr(f"least(n, ({prefix_sql}) * 5 div 4 + 8)")
-
-    known = settle(heads.select("id", "n", "k1", "k2"))
-    sets = heads.join(same.select("node", "row"), "row")
-    bits = settle(sets.select("node", "n", "bits"))
-    tokens = sets.select("node", "n", F.posexplode("head").alias("at", "token"))
-    frequent = settle(tokens.groupBy("token").agg(F.count("*").alias("often")).filter(F.col("often") >= FREQUENT).select("token"))
-    put_last = tokens.join(frequent, "token").groupBy("node", "n").agg(F.collect_set("at").alias("last"))
-    put_last = settle(put_last.withColumn("short", F.size("last") > head_size - prefix))
-    # The prefix once frequent tokens are put last: from the head where it holds enough others, or else from the whole set.
-    enough = sets.join(put_last, ["node", "n"], "left").filter("not coalesce(short, false)")
-    first = F.expr(f"slice(if(last is null, head, filter(head, (x, i) -> not array_contains(last, i))), 1, {prefix_sql})")
-    enough = enough.select("node", "n", F.posexplode(first).alias("pos", "token"))
-    short = docs.join(put_last.filter("short").select(F.col("node").alias("id")).distinct(), "id").mapInArrow(_wholes(k), _WHOLE)
-    short = short.select("node", "n", F.explode("tokens").alias("token")).join(frequent.withColumn("late", F.lit(True)), "token", "left")
-    order = Window.partitionBy("node", "n").orderBy(F.col("late").isNotNull(), "token")
-    short = short.withColumn("pos", F.dense_rank().over(order) - 1).filter(F.col("pos") < prefix).select("node", "n", "pos", "token").distinct()
-    # An entry stays if the next smaller or the next larger set of its list is of a size that can match.
-    by_size = Window.partitionBy("token").orderBy("n")
-    lists = enough.unionByName(short)
-    lists = lists.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size), "often": F.count("*").over(Window.partitionBy("token"))})
-    lists = lists.filter(f"100 * below >= {percent} * n or 100 * n >= {percent} * above")
-    lists = settle(lists.select(F.lit(1).alias("rule"), "token", "node", "n", "pos", "often"))
-    drop(heads)
-
-    # Sets of one size that stand at the same places of the same lists form a group, led by its least node.
-    group = lists.groupBy("node", "n").agg(
-        F.count("*").alias("tokens"),
-        F.expr("sum(xxhash64(token, pos) >> 20)").alias("s"),
-        F.expr("bit_xor(xxhash64(pos, token))").alias("x"),
-    )
-    groups = group.withColumn("gid", F.min("node").over(Window.partitionBy("n", "s", "x", "tokens"))).select("node", "gid", "n")
-    groups = settle(groups.groupBy("node").agg(F.min("gid").alias("gid"), F.min("n").alias("n")))
-    led = settle(lists.join(groups.filter("node = gid").select("node"), "node", "left_semi").withColumnRenamed("node", "gid"))
-    drop(lists)
-    lists_by = ["rule", "token"]
-
-    # First round: leaders of each list, by size and by how common all that they share is (a text that others are copies of
-    # shares all of it), the neighbour in it, then the leader of each group for its members.
-    entry = F.struct("n", "pos", "gid")
-    common = led.groupBy("gid").agg((F.sum(F.log("often")) / F.max(prefix)).alias("common"))
-    leaders = led.join(common, "gid").groupBy(lists_by).agg(F.min(entry).alias("p"), F.max(F.struct("common", entry.alias("e"))).getField("e").alias("q"))
-    leaders = leaders.select(*lists_by, F.explode(F.array_distinct(F.array("p", "q"))).alias("y"))
-    tries = led.select(*lists_by, entry.alias("x")).join(leaders, lists_by).select("x", "y")
-    beside = led.select("gid", *lists_by, "often", entry.alias("x")).withColumn("y", F.lag("x").over(_order("gid", 0)))
-    tries = tries.unionByName(beside.select("x", "y")).filter("x.gid != y.gid").filter(_can_match(percent))
-    tries = tries.groupBy(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).agg(F.count("*").alias("shared"))
-    tries = settle(_best(tries, bits, percent).union(groups.filter("node != gid").select("node", "gid")))
-    links = contract(_verify(tries, docs, k, percent), 2)
+    counts = docs.select("text").mapInArrow(_counts(k, percent), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    late = counts.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(LATE).select("token").collect()
+    late = spark.sparkContext.broadcast(np.sort(np.array([r.token for r in late], np.int64)))
+    known = settle(docs.mapInArrow(_described(k, percent, late), _SET))
+
+    # Equal sets become one, named by its least document; sets of one size with equal prefixes form a group, led by its least set.
+    sets = known.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("id").alias("node"), F.min_by(F.struct("g", "prefix", "bits"), "id").alias("s"))
+    sets = settle(sets.select("k1", "k2", "node", "n", "s.g", F.element_at("s.prefix", 1).alias("first"), "s.prefix", "s.bits"))
+    groups = sets.groupBy("n", "g", "first").agg(F.min("node").alias("gid"), F.count("*").alias("many"))
+    members = settle(sets.drop("k1", "k2").join(groups.hint("merge"), ["n", "g", "first"]).select("node", "gid", "n", "bits", "many", F.when(F.col("node") == F.col("gid"), F.col("prefix")).alias("prefix")))
+    lists = _live(members.filter("prefix is not null").select("node", "n", F.posexplode("prefix").alias("pos", "token")), percent)
+    bits = members.select("node", "n", "bits")
+    several = members.filter("many > 1").select("node", "gid", "n", "bits")
+
+    verify = _Verifier(docs, k, percent)
+    tries = settle(_best(_first_tries(lists, percent), bits, percent).union(several.filter("node != gid").select("node", "gid")))
+    links = contract(verify(tries), 2)
     drop(tries)
 
-    # From here on lists hold members, each with its own bitmap, and a group of several is a list too (rule 0).
-    several = groups.join(groups.filter("node != gid").select("gid").distinct(), "gid", "left_semi")
-    several = several.select(F.lit(0).alias("rule"), F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"))
-    placed = led.drop("often").join(groups.select("node", "gid"), "gid").drop("gid").unionByName(several)
-    placed = settle(_divided(placed, labels(links)))
-    drop(led)
+    # The lists of groups (rule 1) and, where a group has several members, the list of those (rule 0).
+    lead = several.filter("node = gid").select("gid", F.struct("bits").alias("y"))
+    apart = several.filter("node != gid").select("gid", F.struct("bits").alias("x")).join(lead, "gid").groupBy("gid")
+    spreads = settle(apart.agg(F.max(F.expr(_DIFFER)).alias("spread")).withColumnRenamed("gid", "node"))
+    inner = several.select(F.lit(0).alias("rule"), F.col("gid").alias("token"), "node", "n", F.lit(0).alias("pos"))
+
+    def placed_by(links: DataFrame) -> DataFrame:
+        comps = labels(links)
+        own = several.select("node", "gid").join(comps, "node", "left").groupBy("gid").agg(F.count_distinct(F.coalesce("comp", "node")).alias("sides"))
+        mixed = own.filter("sides > 1").select(F.col("gid").alias("node"), F.lit(True).alias("is_mixed"))
+        outer = lists.select(*_LIST, "node", "n", "pos").join(mixed, "node", "left").withColumn("mixed", F.coalesce("is_mixed", F.lit(False))).drop("is_mixed")
+        return settle(_divided(outer.unionByName(inner.withColumn("mixed", F.lit(False))), comps))
 
+    placed = placed_by(links)
     # While much is left: neighbours in the lists, as long as a round takes off a tenth of it.
     (work, entries), before, turn = _work(placed), None, 0
     while work > MANY * entries and (before is None or 10 * work <= 9 * before):
         before, turn = work, turn + 1
         tries = settle(_best(_neighbours(placed, turn, percent), bits, percent))
-        links = contract(links.union(_verify(tries, docs, k, percent)), 2)
+        links = contract(links.union(verify(tries)), 2)
         drop(tries)
-        after = settle(_divided(placed.drop("comp", "main", "often"), labels(links)))
         drop(placed)
-        placed = after
+        placed = placed_by(links)
         work, entries = _work(placed)
 
     # Last round: all that the lists still hold of different components.
-    left = settle(placed.join(bits, ["node", "n"]).select(*lists_by, F.struct("node", "n", "pos", "comp", "bits").alias("x"), F.expr("comp != main").alias("minor")))
-    drop(placed)
-    # Sets meet in bands of sizes, three times as wide (in the logarithm) as the sizes that can match; one side stands in all bands it can match.
-    band = lambda size: F.expr(f"int(floor(ln({size}) / {max(3 * math.log(100 / percent), 0.01)}))")
-    spans = F.explode(F.sequence(band(f"x.n * {percent} / 100"), band(f"x.n * 100 / {percent}")))
-    minor = left.filter("minor").select(*lists_by, "x", spans.alias("band"))
-    other = left.select(*lists_by, F.col("x").alias("y"), F.col("minor").alias("too"), band("x.n").alias("band"))
-    met = minor.join(other, [*lists_by, "band"]).filter("x.node < y.node or not too")
-    met = met.filter("x.comp != y.comp").filter(_can_match(percent)).filter(_may_overlap(percent))
-    pairs = settle(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
-    drop(left)
-    more = _verify(pairs, docs, k, percent)
-    drop(pairs)
-    comps = settle(components(links.union(more)))
-
-    found = same.join(comps, "node", "left").select("k1", "k2", "n", F.coalesce("comp", "node").alias("comp"))
-    out = known.join(found, ["k1", "k2", "n"], "left")
-    out = out.groupBy("id").agg(F.min(F.coalesce("comp", "id")).alias("comp")).join(known.select("id", "n"), "id")
+    pairs = _left(placed, members, spreads, labels(links), percent)
+    comps = settle(components(links.union(verify(pairs))))
+    for table in (placed, pairs, lists, members, spreads):
+        drop(table)
+    verify.close()
+
+    found = sets.select("k1", "k2", "n", "node").join(comps, "node", "left").select("k1", "k2", "n", F.coalesce("comp", "node").alias("comp"))
+    out = known.select("id", "n", "k1", "k2").join(found, ["k1", "k2", "n"], "left").select("id", "n", F.coalesce("comp", "id").alias("comp"))
+    # Rows with one id share its least component.
+    least = out.groupBy("id").agg(F.min("comp").alias("comp"))
+    out = out.select("id", "n").join(least, "id")
     back = lambda c: F.when(F.col(c) != _NONE, F.col(c))
     return out.select(back("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back("comp").alias("component_id"))
