@@ -31,16 +31,20 @@ def secrets(template: str, store: Mapping[str, str] = os.environ) -> str:
     return re.sub(r"\$\{(\w+)\}", lambda m: store.get(m[1], m[0]), template)
 
 
+def _overlaid(kind: str):
+    """A body of fields: the payload's, and all parameters in place of its own or beside them. Templates in it are filled by secrets only."""
+    return lambda api, params, _, hidden: {kind: {k: hidden(v) for k, v in ((api.get("payload_json") or {}) | dict(params)).items()}}
+
+
+#: What each payload type puts into a request.
+_BODY = {None: lambda *_: {}, "content": lambda api, _, text, hidden: {"content": text(api["payload_xml"]).encode()}, "json": _overlaid("json"), "data": _overlaid("data")}
+
+
 def build_request(api: Mapping[str, Any], params: Mapping[str, Any], store: Mapping[str, str] = os.environ) -> dict[str, Any]:
-    """Method, URL, headers and body of a call. A json or data body is the payload overlaid by all parameters."""
-    full = lambda x: secrets(fill(x, params), store) if isinstance(x, str) else x
-    out = {"method": api["request_type"].upper(), "url": full(api["api_url"]), "headers": {k: full(v) for k, v in (api.get("header_json") or {}).items()}}
-    kind = api.get("payload_type")
-    if kind == "content":
-        out["content"] = full(api["payload_xml"]).encode()
-    elif kind in ("json", "data"):
-        body = {**(api.get("payload_json") or {}), **params}
-        out[kind] = {k: secrets(v, store) if isinstance(v, str) else v for k, v in body.items()}
-    elif kind is not None:
+    """Method, URL, headers and body of a call. Values that are no text stay as they are."""
+    hidden = lambda x: secrets(x, store) if isinstance(x, str) else x
+    text = lambda x: hidden(fill(x, params)) if isinstance(x, str) else x
+    if (kind := api.get("payload_type")) not in _BODY:
         raise ValueError(f"unknown payload type: {kind}")
-    return out
+    head = {"method": str.upper, "url": text}
+    return {name: make(api[field]) for (name, make), field in zip(head.items(), ("request_type", "api_url"), strict=True)} | {"headers": {k: text(v) for k, v in (api.get("header_json") or {}).items()}} | _BODY[kind](api, params, text, hidden)

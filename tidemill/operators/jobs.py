@@ -56,8 +56,8 @@ def params_json(columns: list[str]) -> Column:
 
 
 def job_id(api_id: Column, values: list[Column]) -> Column:
-    """The API id and the key parameters; a digest of them where that is too long."""
-    part = F.concat_ws("_", *(v.cast("string") for v in values))
+    """The API id and the key parameters, null as "None"; a digest of them where that is too long."""
+    part = F.concat_ws("_", *(F.coalesce(v.cast("string"), F.lit("None")) for v in values))
     plain = F.concat(api_id, F.lit("_"), part)
     short = F.substring(F.concat(api_id, F.lit("_"), F.substring(F.sha2(part, 256), 1, DIGEST)), 1, ID_LENGTH)
     return F.when(F.char_length(plain) > ID_LENGTH, short).otherwise(plain)
@@ -86,7 +86,44 @@ def conflicts(jobs: DataFrame) -> DataFrame:
 
 
 def new_jobs(jobs: DataFrame, existing: DataFrame) -> DataFrame:
-    """Jobs whose id does not exist yet, one for each id. An id with other parameters is an error."""
-    if not conflicts(jobs.select("job_id", "params_json").union(existing.select("job_id", "params_json"))).isEmpty():
-        raise ValueError("one job id stands for different parameters")
-    return jobs.dropDuplicates(["job_id"]).join(existing.select("job_id"), "job_id", "left_anti")
+    """Jobs whose id does not exist yet, one for each id. An id with other parameters is an error, raised where the result is read."""
+    once = jobs.groupBy("job_id").agg(F.min("params_json").alias("params_json"), F.max("params_json").alias("_most"), *(F.first(c).alias(c) for c in jobs.columns if c not in ("job_id", "params_json")))
+    old = existing.groupBy("job_id").agg(F.min("params_json").alias("_least"), F.max("params_json").alias("_greatest"))
+    both = once.join(old, "job_id", "left")
+    clash = (F.col("params_json") != F.col("_most")) | F.coalesce((F.col("_least") != F.col("params_json")) | (F.col("_greatest") != F.col("params_json")), F.lit(False))
+    error = F.raise_error(F.concat(F.lit("one job id stands for different parameters: "), F.col("job_id"))).cast("boolean")
+    return both.filter(F.when(clash, error).otherwise(F.col("_least").isNull())).select(*jobs.columns)
+
+
+def identified(params: DataFrame, builder: Mapping[str, Any], entries: list[Any] | None) -> tuple[DataFrame, bool]:
+    """Parameter sets with ``job_id`` and ``params_json``, and whether equal sets get equal ids.
+
+    Without key parameters an id is random (so write the result once before reading it twice); with the slot alone it is the builder's.
+    """
+    keys = [k for k, _ in key_params(entries or []) if k != SLOT]
+    if missing := [k for k in keys if k not in params.columns]:
+        raise ValueError(f"{builder['build_id']}: no such parameters: {missing}")
+    api = F.lit(builder["api_id"])
+    if not entries:
+        made = F.concat(api, F.lit("_"), F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, 12))
+    elif not keys:
+        made = F.concat(api, F.lit("_"), F.lit(builder["build_id"]))
+    else:
+        made = job_id(api, [F.col(k) for k in keys])
+    return params.select(made.alias("job_id"), params_json(params.columns).alias("params_json")), bool(entries)
+
+
+def build(spark: SparkSession, builder: Mapping[str, Any], api: Mapping[str, Any], existing: DataFrame, today: date) -> DataFrame:
+    """The new jobs of a builder: columns of the job table but its description and time."""
+    sets = product(spark, axes(spark, builder.get("macro_params_json") or {}, today))
+    made, stable = identified(sets, builder, api.get("key_params_list"))
+    made = new_jobs(made, existing) if stable else made
+    return made.select(
+        "job_id", F.lit(builder["build_id"]).alias("build_id"), F.lit(builder["api_id"]).alias("api_id"), "params_json", F.lit(True).alias("is_active"),
+        F.lit(builder.get("save_mode") or "overwrite").alias("save_mode"), F.lit(builder.get("execution_cycle")).cast("string").alias("execution_cycle"),
+    )
+
+
+def pending(jobs: DataFrame, cycle: str) -> DataFrame:
+    """The active jobs of a cycle: those of a builder table are to be built, those of a job table to be run."""
+    return jobs.filter(F.col("is_active") & (F.col("execution_cycle") == cycle))

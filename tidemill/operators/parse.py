@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import csv
 import io
 import json
-import sys
 import zipfile
-from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def response_format(response_type: Column, content_type: Column, body: Column) -> Column:
@@ -20,59 +19,138 @@ def response_format(response_type: Column, content_type: Column, body: Column) -
     return F.coalesce(response_type, F.when(xml, "xml").otherwise("json"))
 
 
+def check_mapping(outputs: dict | None, persist: dict | None) -> None:
+    """A configuration has to say what becomes of a response."""
+    if not outputs and not persist:
+        raise ValueError("neither output tables nor values to keep are configured")
+
+
 def _path(path: str) -> str:
     return "$" + "".join(f"['{p}']" for p in path.split("."))
 
 
+def _document(body: Column) -> Column:
+    return F.try_parse_json(body)
+
+
 def json_scalar(body: Column, path: str, kind: str = "string") -> Column:
-    """A value at a dotted path of object keys, or null."""
-    return F.try_variant_get(F.parse_json(body), _path(path), kind)
+    """A value at a dotted path of object keys, or null; null as well if the body is no JSON."""
+    return F.try_variant_get(_document(body), _path(path), kind)
 
 
-def json_records(df: DataFrame, body: str, path: str, record: str = "record") -> DataFrame:
-    """A row for each record at a dotted path: a list's items, or a single object. Adds ``pos`` and the record as JSON text."""
-    at = F.try_variant_get(F.parse_json(body), _path(path), "variant")
+def json_items(body: Column, path: str) -> Column:
+    """The records at a dotted path, an array of JSON texts: a list's items, a single object, or none. Null if the body is no JSON.
+
+    A scalar there has no records.
+    """
+    at = F.try_variant_get(_document(body), _path(path), "variant")
     kind = F.schema_of_variant(at)
-    text = F.when(kind.startswith("OBJECT"), F.concat(F.lit("["), F.to_json(at), F.lit("]"))).when(kind.startswith("ARRAY"), F.to_json(at))
-    items = F.transform(F.from_json(text, "array<variant>"), lambda x: F.to_json(x))
-    return df.select("*", F.posexplode(items).alias("pos", record))
+    items = F.when(kind.startswith("ARRAY"), F.try_variant_get(at, "$", "array<variant>")).when(kind.startswith("OBJECT"), F.array(at))
+    made = F.transform(items, lambda x: F.to_json(x))
+    return F.when(_document(body).isNotNull(), F.coalesce(made, F.array().cast("array<string>")))
+
+
+def json_records(df: DataFrame, body: str, path: str, record: str = "record") -> DataFrame:
+    """A row for each record at a dotted path. Adds ``pos`` and the record as JSON text."""
+    return df.select("*", F.posexplode(json_items(F.col(body), path)).alias("pos", record))
 
 
 def merge_field(record: Column, name: str, value: Column) -> Column:
-    """The record (JSON text of an object) with a field set from elsewhere in the response."""
-    own = F.map_filter(F.from_json(record, "map<string,string>"), lambda k, _: k != name)
-    return F.to_json(F.map_concat(own, F.create_map(F.lit(name), value.cast("string"))))
+    """The record (JSON text of an object) with a field set from elsewhere in the response. All values keep their types."""
+    own = F.map_filter(F.from_json(record, "map<string,variant>"), lambda k, _: k != name)
+    return F.to_json(F.map_concat(own, F.create_map(F.lit(name), value.cast("variant"))))
 
 
-def delimited_records(body: Column, names: list[str], sep: str = ",", header: bool = False) -> Column:
-    """An array of records of a delimited body: cells are trimmed, empty cells are null, quotes may hold separators, quotes and newlines.
+def merge_fields(items: Column, body: Column, fields: dict[str, str]) -> Column:
+    """Records (JSON texts) with fields (name to dotted path) of the whole response; they take the place of a record's own, and are null where the path is missing."""
 
-    Lines without a cell are dropped; with ``header`` the first line is. Short rows miss keys, long rows lose their extra cells.
-    """
+    def stamped(name: str, path: str, items: Column) -> Column:
+        found = F.coalesce(F.try_variant_get(_document(body), _path(path), "variant"), F.parse_json(F.lit("null")))
+        return F.transform(items, lambda r: merge_field(r, name, found))
 
-    @F.udf("array<map<string,string>>")
-    def parse(text: str | None):
-        return [dict(r) for r in rows(text or "", names, sep, header)]
+    for name, path in fields.items():
+        items = stamped(name, path, items)
+    return items
 
-    return parse(body)
+
+def _cell_pattern(sep: str) -> str:
+    """A cell of a delimited line: quoted, with anything in the quotes, or up to the next separator."""
+    other = f"[^{_escaped(sep)}\\r\\n]"
+    return rf'(?:"[^"]*(?:""[^"]*)*+"{other}*|{other}*)'
+
+
+def _escaped(sep: str) -> str:
+    if len(sep) != 1 or sep in '"\r\n':
+        raise ValueError(f"a separator is one character other than a quote or newline: {sep!r}")
+    return "\\" + sep if sep in "\\]^-[&|.$*+?(){}" else sep
+
+
+def delimited_lines(body: Column, sep: str = ",") -> Column:
+    """The lines of a delimited body that have a cell, an array of texts; quoted newlines don't end a line."""
+    # A quote opens a quoted cell only at its start, so a line is a row of cells; the longest such row is a line.
+    cell = _cell_pattern(sep)
+    lines = F.regexp_extract_all(body, F.lit(rf"{cell}(?:{_escaped(sep)}{cell})*+"), F.lit(0))
+    return F.filter(lines, lambda x: x != "")
+
+
+def delimited_cells(line: Column, sep: str = ",") -> Column:
+    """The cells of a line: quotes taken off, white space trimmed, null if empty."""
+    cells = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(rf"{_escaped(sep)}({_cell_pattern(sep)})"), F.lit(1))
+
+    def plain(cell: Column) -> Column:
+        inner = F.replace(F.regexp_replace(cell, r'(?s)^"(.*)"([^"]*)$', "$1$2"), F.lit('""'), F.lit('"'))
+        text = F.when(F.startswith(cell, F.lit('"')), inner).otherwise(cell)
+        return F.nullif(F.regexp_replace(text, r"(?U)^\s++|\s++$", ""), F.lit(""))
+
+    return F.transform(cells, plain)
 
 
-def rows(text: str, names: list[str], sep: str, header: bool) -> Iterator[dict[str, str | None]]:
-    csv.field_size_limit(sys.maxsize)  # a cell may hold a whole document
-    lines = (x for x in csv.reader(io.StringIO(text, newline=""), delimiter=sep) if x)
-    if header:
-        first = next(lines, [])
-        names = names or [x.strip() for x in first]
-    if not names:
+def delimited_records(body: Column, names: list[str] | None = None, sep: str = ",", header: bool = False) -> Column:
+    """An array of records (maps of text) of a delimited body: cells are trimmed, empty cells are null, quotes may hold separators, quotes and newlines.
+
+    Lines without a cell are dropped; with ``header`` the first line is, and names the cells unless ``names`` are given. Short rows miss keys, long rows
+    lose their extra cells. All with built-in functions.
+    """
+    if not names and not header:
         raise ValueError("a delimited body needs field names")
-    for cells in lines:
-        yield {k: v.strip() or None for k, v in zip(names, cells, strict=False)}
+    lines = delimited_lines(F.coalesce(body, F.lit("")), sep)
+    keys = F.array(*map(F.lit, names)) if names else F.coalesce(delimited_cells(F.get(lines, F.lit(0)), sep), F.array().cast("array<string>"))
+    rows = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))) if header else lines
+
+    def record(line: Column) -> Column:
+        cells = delimited_cells(line, sep)
+        both = F.least(F.size(keys), F.size(cells))
+        return F.map_from_arrays(F.slice(keys, F.lit(1), both), F.slice(cells, F.lit(1), both))
+
+    return F.transform(rows, record)
+
+
+@F.pandas_udf(T.StringType())
+def _decoded(body: pd.Series, encoding: pd.Series) -> pd.Series:
+    return pd.Series([None if b is None else bytes(b).decode(e) for b, e in zip(body, encoding, strict=True)], dtype=object)
+
+
+def decode(body: Column, encoding: str | None = None) -> Column:
+    """Bytes as text. UTF-8 is decoded by Spark, other encodings (cp949, euc-kr ...) in Arrow batches. A byte order mark stays."""
+    if (encoding or "utf-8").lower().replace("_", "-") in ("utf-8", "utf8"):
+        return F.decode(body, "UTF-8")
+    return _decoded(body, F.lit(encoding))
+
+
+@F.pandas_udf(T.BinaryType())
+def _unzipped(body: pd.Series, inner: pd.Series) -> pd.Series:
+    def entry(data: bytes | None, name: str) -> bytes | None:
+        if data is None:
+            return None
+        with zipfile.ZipFile(io.BytesIO(data)) as z:
+            return z.read(name or z.namelist()[0])
 
+    return pd.Series([entry(b, n) for b, n in zip(body, inner, strict=True)], dtype=object)
 
-def unzip(body: bytes, inner: str | None = None) -> bytes:
-    """An entry of a zipped body, the first by default."""
-    with zipfile.ZipFile(io.BytesIO(body)) as z:
-        return z.read(inner or z.namelist()[0])
+
+def unzip(body: Column, inner: str | None = None) -> Column:
+    """An entry of a zipped body, the first by default, in Arrow batches."""
+    return _unzipped(body, F.lit(inner or ""))
 
 
 def xml_selector(selector: str) -> tuple[str, str | None]:
@@ -83,42 +161,52 @@ def xml_selector(selector: str) -> tuple[str, str | None]:
     return path, attribute or None
 
 
-def _value(node: ElementTree.Element, attribute: str | None):
-    if len(node):
-        return _children(node, attribute)
-    own = dict(node.attrib)
-    if attribute and attribute in own:
-        return own[attribute]
-    if "value" in own:
-        return own["value"]
-    if own:
-        return next(iter(own.values())) if len(own) == 1 else own
-    return (node.text or "").strip() or None
-
-
-def _children(node: ElementTree.Element, attribute: str | None) -> dict:
-    held: dict[str, list] = {}
-    for child in node:
-        held.setdefault(child.tag, []).append(_value(child, attribute))
-    return {k: v if len(v) > 1 else v[0] for k, v in held.items()}
-
-
 def xml_records(body: str, selector: str) -> list[dict]:
-    """Records of the elements a selector finds: their children by tag, or a leaf's attributes."""
+    """Records of the elements a selector finds: their children by tag, or a leaf's attributes.
+
+    A child without children is, in this order: the selector's attribute, its ``value`` attribute, its only attribute, all its attributes, its text, null.
+    """
     path, attribute = xml_selector(selector)
-    return [_children(n, attribute) if len(n) else dict(n.attrib) for n in ElementTree.fromstring(body).iterfind(path)]
+    out = []
+    for found in ElementTree.fromstring(body).iterfind(path):
+        made: dict = {}
+        # In reverse document order all children of an element come ahead of it, the last one first.
+        for element in reversed(list(found.iter())):
+            own = element.attrib
+            values: dict[str, list] = {}
+            for child in element:
+                values.setdefault(child.tag, []).append(made.pop(child))
+            if values:
+                made[element] = {tag: each if len(each) > 1 else each[0] for tag, each in values.items()}
+            elif attribute in own or "value" in own:
+                made[element] = own.get(attribute, own.get("value"))
+            else:
+                made[element] = dict(own) if len(own) > 1 else next(iter(own.values()), (element.text or "").strip() or None)
+        out.append(made[found] if len(found) else dict(found.attrib))
+    return out
 
 
 def xml_record_texts(body: Column, selector: str) -> Column:
-    """The records of an XML body as an array of JSON texts with sorted keys."""
+    """The records of an XML body as an array of JSON texts with sorted keys, in Arrow batches. Null if the body is no XML."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def parse(texts: pd.Series) -> pd.Series:
+        def one(text: str | None) -> list[str] | None:
+            try:
+                return None if text is None else [json.dumps(r, ensure_ascii=False, sort_keys=True, separators=(",", ":")) for r in xml_records(text, selector)]
+            except ElementTree.ParseError:
+                return None
 
-    @F.udf("array<string>")
-    def parse(text: str | None):
-        return [json.dumps(r, ensure_ascii=False, sort_keys=True, separators=(",", ":")) for r in xml_records(text, selector)] if text else []
+        return pd.Series([one(x) for x in texts], dtype=object)
 
     return parse(body)
 
 
+def by_selector(df: DataFrame, records: str, selectors: list[str]) -> DataFrame:
+    """Every selector of a flat file gets all its records: a row for each, in ``selector``."""
+    return df.withColumn("selector", F.explode(F.array(*map(F.lit, selectors)))).select(*df.columns, "selector") if records in df.columns else df
+
+
 def merge_pages(pages: DataFrame, job: list[str], page: str = "page", digest: str = "digest", size: str = "n") -> DataFrame:
     """Pages ahead of the first that is empty or equal to the one just before it, in each job."""
     order = Window.partitionBy(*job).orderBy(page)

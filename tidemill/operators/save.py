@@ -6,28 +6,83 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NUMBER = r"^\s*[+-]?(?:\d+(?:_\d+)*)(?:\.0*)?\s*$"
+_INTEGER = r"^\s*[+-]?\d+(?:_\d+)*(?:\.0*)?\s*$"
+_FLOAT = r"(?i)^\s*[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:e[+-]?\d+)?|nan|inf(?:inity)?)\s*$"
+# The texts that count as true and false.
+_TRUE, _FALSE = ("1", "true", "t", "yes", "y", "on"), ("0", "false", "f", "no", "n", "off")
+
+
+def _from_text(text: Column, kind: T.DataType, length: int | None) -> Column:
+    """A lenient reading of a text; null if it can't be read."""
+    bare = F.trim(text)
+    if isinstance(kind, T.LongType):
+        return F.when(text.rlike(_INTEGER), F.regexp_replace(bare, r"_|\.0*$", "").try_cast("bigint"))
+    if isinstance(kind, T.DoubleType):
+        return F.when(text.rlike(_FLOAT), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"))
+    if isinstance(kind, T.BooleanType):
+        return F.when(F.lower(bare).isin(*_TRUE), True).when(F.lower(bare).isin(*_FALSE), False)
+    if isinstance(kind, T.DateType):
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"), text.try_cast(kind))
+    if isinstance(kind, T.StringType):
+        return F.when(F.lit(length is None) | (F.char_length(text) <= F.lit(length)), text)
+    raise ValueError(f"no column of this type can be read: {kind.simpleString()}")
+
+
+def coerce(value: Column, kind: T.DataType | str, length: int | None = None) -> Column:
+    """A lenient cast of text: (value, bad). Integers may end in zeros after the point, numbers hold single underscores between digits; text has a greatest length."""
+    kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
+    made = _from_text(value, kind, length)
+    return F.struct(made.alias("value"), (value.isNotNull() & made.isNull()).alias("bad"))
 
 
-def coerce(value: Column, kind: str, length: int | None = None) -> Column:
-    """A lenient cast of text: (value, bad). Integers may end in zeros after the point and hold single underscores between digits; text has a greatest length."""
-    if kind == "bigint":
-        made = F.when(value.rlike(_NUMBER), F.regexp_replace(F.trim(value), "_|\\.0*$", "").try_cast("bigint"))
-    elif kind == "double":
-        made = F.when(~value.rlike("_"), F.trim(value)).when(value.rlike(r"^\s*[+-]?\d+(?:_\d+)*(?:\.\d+(?:_\d+)*)?\s*$"), F.regexp_replace(F.trim(value), "_", "")).try_cast("double")
-    else:
-        made = F.when(F.lit(length is None) | (F.char_length(value) <= F.lit(length)), value)
-    return F.struct(made.alias("value"), (value.isNotNull() & made.isNull()).alias("bad"))
+def coerce_variant(value: Column, kind: T.DataType, length: int | None = None, nullable: bool = True) -> Column:
+    """The same for a JSON value, by its own type: (value, bad). Numbers are no text, a fraction is no integer, true and false are 1 and 0."""
+    own = F.schema_of_variant(value)
+    text = _from_text(F.try_variant_get(value, "$", "string"), kind, length)
+    number = own.isin("BIGINT", "DOUBLE", "FLOAT") | own.startswith("DECIMAL")
+    real = F.try_variant_get(value, "$", "double")
+    made = F.when(own == "STRING", text)
+    if isinstance(kind, T.LongType):
+        made = made.when(own == "BIGINT", F.try_variant_get(value, "$", "bigint")).when(number & (real == F.floor(real)), real.try_cast("bigint")).when(own == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint"))
+    elif isinstance(kind, T.DoubleType):
+        made = made.when(number, real).when(own == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
+    elif isinstance(kind, T.BooleanType):
+        made = made.when(own == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).when(number & real.isin(0.0, 1.0), real == 1.0)
+    empty = value.isNull() | F.coalesce(F.is_variant_null(value), F.lit(False))
+    return F.struct(made.alias("value"), (F.when(empty, not nullable).otherwise(made.isNull())).alias("bad"))
+
+
+def _picked(made: DataFrame, kept: list[str], names: list[str]) -> DataFrame:
+    bad = sum((F.coalesce(F.col(f"`{n}`.bad"), F.lit(False)).cast("int") for n in names), F.lit(0))
+    return made.select(*kept, *(F.col(f"`{n}`.value").alias(n) for n in names), bad.alias("bad"))
 
 
 def typed(records: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns of text records, and ``bad``: how many of a row's values can't be read. A job with a bad row fails as a whole."""
-    kinds = {T.LongType(): "bigint", T.DoubleType(): "double"}
-    made = [coerce(F.col(f.name), kinds.get(f.dataType, "string"), (f.metadata or {}).get("length")).alias(f.name) for f in schema if f.name in records.columns]
     names = [f.name for f in schema if f.name in records.columns]
-    rows = records.select(*[c for c in records.columns if c not in names], *made)
-    bad = sum((F.col(f"{n}.bad").cast("int") for n in names), F.lit(0))
-    return rows.select(*[c for c in records.columns if c not in names], *(F.col(f"{n}.value").alias(n) for n in names), bad.alias("bad"))
+    rest = [c for c in records.columns if c not in names]
+    made = [coerce(F.col(f.name), f.dataType, (f.metadata or {}).get("length")).alias(f.name) for f in schema if f.name in names]
+    return _picked(records.select(*rest, *made), rest, names)
+
+
+def typed_records(records: DataFrame, schema: T.StructType, keep: list[str]) -> DataFrame:
+    """Rows of a typed table from ``api_id``, ``job_id``, ``key_params`` and ``record`` (JSON texts), with ``bad``.
+
+    A record's own value goes before a key parameter, and that before the ids; unknown keys are left out. ``id`` and ``updated_at`` are the table's own.
+    """
+    fields = [f for f in schema if f.name not in ("id", "updated_at")]
+    parsed = records.withColumns({"_record": F.try_parse_json("record"), "_keys": F.try_parse_json(F.coalesce("key_params", F.lit("{}")))})
+
+    def given(name: str) -> Column:
+        own = [F.try_variant_get(F.col(c), f"$['{name}']", "variant") for c in ("_record", "_keys")]
+        return F.coalesce(*own, F.col(name).cast("variant")) if name in ("api_id", "job_id") else F.coalesce(*own)
+
+    made = [coerce_variant(given(f.name), f.dataType, (f.metadata or {}).get("length"), f.nullable).alias(f"{f.name}") for f in fields]
+    held = [F.col(c).alias(f"_keep_{c}") for c in keep]
+    rows = _picked(parsed.select(*held, *made), [f"_keep_{c}" for c in keep], [f.name for f in fields])
+    return rows.select(*(F.col(f"_keep_{c}").alias(f"run_{c}") for c in keep), *(f.name for f in fields), "bad")
 
 
 def generic(df: DataFrame, record: list[str], keys: list[str]) -> DataFrame:
@@ -36,14 +91,30 @@ def generic(df: DataFrame, record: list[str], keys: list[str]) -> DataFrame:
     return df.select("api_id", "job_id", stamped.alias("key_params_json"), F.to_json(F.struct(*record), {"ignoreNullFields": "false"}).alias("result_json"))
 
 
+def counts_text(counts: DataFrame) -> DataFrame:
+    """A description for each job of (job_id, table, n): "table: n", by table."""
+    return counts.groupBy("job_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("table", F.col("n").cast("string").alias("n")))), lambda x: F.concat(x["table"], F.lit(": "), x["n"])), ", ").alias("description"))
+
+
+def counts_by_table(rows: DataFrame, tables: dict[str, str], selector: str = "selector", job: str = "job_id") -> DataFrame:
+    """Rows saved by each job into each table (job_id, table, n), summed over the selectors that a table gets."""
+    table = F.create_map(*(F.lit(x) for pair in tables.items() for x in pair))[F.col(selector)]
+    return rows.select(F.col(job).alias("job_id"), table.alias("table")).filter("table is not null").groupBy("job_id", "table").agg(F.count("*").alias("n"))
+
+
 def overwrite(old: DataFrame, new: DataFrame, jobs: DataFrame) -> DataFrame:
     """A result table after the jobs ran again: their old rows go, also those of a job that now has none."""
     return old.join(jobs.select("job_id").distinct(), "job_id", "left_anti").unionByName(new)
 
 
-def export(df: DataFrame, path: str) -> None:
-    """One Parquet folder for each job."""
-    df.repartition("job_id").write.mode("overwrite").partitionBy("job_id").option("partitionOverwriteMode", "dynamic").parquet(path)
+def append(old: DataFrame, new: DataFrame) -> DataFrame:
+    """A result table after the jobs ran: all rows, old and new."""
+    return old.unionByName(new)
+
+
+def restore(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns of a buffered table in the schema's types: an empty text is null."""
+    return rows.select(*(F.nullif(F.col(f.name), F.lit("")).cast(f.dataType).alias(f.name) for f in schema if f.name in rows.columns))
 
 
 def page(df: DataFrame, key: str, limit: int = 100, offset: int = 0, most: int = 1000) -> DataFrame:
@@ -53,7 +124,8 @@ def page(df: DataFrame, key: str, limit: int = 100, offset: int = 0, most: int =
     return df.orderBy(F.col(key).desc_nulls_first()).offset(offset).limit(limit)
 
 
-def recent_logs(logs: DataFrame, status: str | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
-    """The newest log rows, of one status if given."""
+def recent_logs(logs: DataFrame, status: str | None = None, limit: int = 100, offset: int = 0, job: str | None = None) -> DataFrame:
+    """The newest log rows, of one status or one job if given."""
     rows = logs.filter(F.col("status") == status) if status else logs
+    rows = rows.filter(F.col("job_id") == job) if job else rows
     return rows.orderBy(F.col("executed_at").desc_nulls_first(), F.col("id").desc()).offset(offset).limit(limit)

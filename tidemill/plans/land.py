@@ -1,4 +1,4 @@
-"""Landing responses and running jobs from them."""
+"""Landing responses and logging runs."""
 
 from __future__ import annotations
 
@@ -21,11 +21,10 @@ def land(spark: SparkSession, jobs: list[dict], path: str, tape: str | None = No
 
 
 def log_rows(outcome: DataFrame, now: str) -> DataFrame:
-    """Run log rows of (job_id, n_rows, n_bad): a job with a bad row has failed, with a message of at most 4000 characters."""
-    failed = F.col("n_bad") > 0
+    """Run log rows of (job_id, error): a job with an error has failed, with a message of at most 4000 characters. ``now`` is in UTC."""
     return outcome.select(
         "job_id",
-        F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(failed, F.substring(F.concat(F.col("n_bad").cast("string"), F.lit(" values can't be read")), 1, 4000)).alias("error_message"),
+        F.when(F.col("error").isNotNull(), "FAILED").otherwise("SUCCESS").alias("status"),
+        F.substring("error", 1, 4000).alias("error_message"),
         F.lit(now).cast("timestamp_ntz").alias("executed_at"),
     )

@@ -1,28 +1,38 @@
-"""HTTP responses as a Spark data source: one partition for each job, pages in order within it.
+"""HTTP responses of a table of jobs, and of a Spark data source: pages in order within a job.
 
-The source is lazy, so a plan that reads it twice calls twice: land it once (``tidemill.plans.land``) and parse what was landed.
+Both are lazy, so a plan that reads them twice calls twice: land the answers once (``tidemill.plans.land``) and parse what was landed.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 import json
+import re
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
 from urllib.parse import urlencode
+from xml.etree import ElementTree
 
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemill.functions.template import build_request
+from tidemill.operators.parse import xml_selector
 
-SCHEMA = "job_id string, page int, status int, content_type string, body binary"
+SCHEMA = "job_id string, page int, status int, content_type string, body binary, error string"
+#: Seconds for an answer, attempts, pages of a job at most (a job with more ends there, with an error), seconds between pages.
 TIMEOUT, ATTEMPTS, PAGES, DELAY = 30, 3, 100, 0.3
 PAGE = "PAGE"
+Send = Callable[[dict], tuple[int, str, bytes]]
 
 
 def paginated(api: dict) -> bool:
     """Whether a call has a page parameter in its URL, its text body or its body's keys."""
-    return any(f":{PAGE}" in (api.get(k) or "") for k in ("api_url", "payload_xml")) or PAGE in (api.get("payload_json") or {})
+    token = re.compile(rf"(?<!\w):{PAGE}(?!\w)")
+    return any(token.search(api.get(k) or "") for k in ("api_url", "payload_xml")) or PAGE in (api.get("payload_json") or {})
 
 
 def over_http(request: dict) -> tuple[int, str, bytes]:
@@ -38,60 +48,108 @@ def over_http(request: dict) -> tuple[int, str, bytes]:
         return r.status, r.headers.get("Content-Type", ""), r.read()
 
 
-def recorded(folder: str) -> Callable[[dict], tuple[int, str, bytes]]:
-    """Answers from a JSON object of URL to [content type, text], for tests; unknown URLs have an empty body."""
-    with open(folder) as f:
-        held = json.load(f)
+def replies(held: dict[str, list]) -> Send:
+    """Answers from URL to [content type, text], for tests; a URL without one can't be reached."""
 
     def send(request: dict) -> tuple[int, str, bytes]:
-        kind, text = held.get(request["url"], ["application/json", ""])
+        if request["url"] not in held:
+            raise OSError(f"no answer from {request['url']}")
+        kind, text = held[request["url"]]
         return 200, kind, text.encode()
 
     return send
 
 
-def fetch(api: dict, params: dict, send: Callable[[dict], tuple[int, str, bytes]], wait: Callable[[float], None] = time.sleep) -> Iterator[tuple[int, int, str, bytes]]:
-    """(page, status, content type, body) of a job. Pages end at the first that is empty or repeats the one before, which are not returned."""
-    many, last = paginated(api), None
-    for page in range(1, PAGES + 1 if many else 2):
-        own = {**params, PAGE: page} if many else params
-        for attempt in range(ATTEMPTS):
-            try:
-                status, kind, body = send(build_request(api, own))
-                break
-            except OSError:
-                if attempt == ATTEMPTS - 1:
-                    raise
-                wait(min(10, 2**attempt))
-        if many and (not body.strip() or body == last):
+def recorded(path: str) -> Send:
+    """``replies`` from a JSON file."""
+    with open(path) as f:
+        return replies(json.load(f))
+
+
+def found(api: dict, kind: str, body: bytes) -> list[str]:
+    """Each record that the selectors of an API find on a page, as text that is equal for equal records. It only decides where pages end."""
+    selectors, text = list(api.get("output_tables_json") or {}), body.decode(errors="replace")
+    how = api.get("response_type") or ("xml" if "xml" in kind or text.lstrip().startswith("<") else "json")
+    if how == "xml":
+        root = ElementTree.fromstring(text)
+        return [f"{s} {ElementTree.canonicalize(ElementTree.tostring(e, 'unicode'), strip_text=True)}" for s in selectors for e in root.iterfind(xml_selector(s)[0])]
+    if how != "json":
+        return [json.dumps(r) for r in csv.reader(io.StringIO(text), delimiter=(api.get("response_parse_json") or {}).get("delimiter", ",")) if r]
+    out = []
+    for selector in selectors:
+        at = json.loads(text)
+        for step in selector.split("."):
+            at = at.get(step) if isinstance(at, dict) else None
+        out += [f"{selector} {json.dumps(r, sort_keys=True)}" for r in ([at] if isinstance(at, dict) else at if isinstance(at, list) else [])]
+    return out
+
+
+def _answer(api: dict, params: dict, send: Send, wait: Callable[[float], None]) -> tuple[int, str, bytes]:
+    """One answer, with retries after any failure; the last one's cause is kept."""
+    for attempt in range(1, ATTEMPTS):
+        try:
+            return send(build_request(api, params))
+        except Exception:  # noqa: BLE001 - whatever it was is tried again
+            wait(min(10, 2 ** (attempt - 1)))
+    return send(build_request(api, params))
+
+
+def fetch(api: dict, params: dict, send: Send, wait: Callable[[float], None] = time.sleep) -> Iterator[tuple[int, int, str, bytes]]:
+    """(page, status, content type, body) of a job. Pages end at the first without a record or with the records of the one before; that one is not returned."""
+    if not paginated(api):
+        yield 1, *_answer(api, params, send, wait)
+        return
+    before = None
+    for page in range(1, PAGES + 1):
+        status, kind, body = _answer(api, {**params, PAGE: page}, send, wait)
+        records = found(api, kind, body)
+        if not records or records == before:
             return
         yield page, status, kind, body
-        last = body
-        if many:
-            wait(api.get("page_delay", DELAY))
+        before = records
+        wait(api.get("page_delay", DELAY))
 
 
-class _Job(InputPartition):
-    def __init__(self, job: dict):
-        self.job = job
+def rows_of(job: dict, send: Send, wait: Callable[[float], None] = time.sleep) -> list[tuple]:
+    """A job's rows of SCHEMA. If a page fails there is one row with the error, so that other jobs go on."""
+    try:
+        return [(job["job_id"], *x[:3], x[3], None) for x in fetch(job["api"], job["params"], send, wait)]
+    except Exception as e:  # noqa: BLE001 - the job fails with this message
+        return [(job["job_id"], 0, None, None, None, f"{type(e).__name__}: {e}"[:4000])]
+
+
+def responses(jobs: DataFrame, send: Send = over_http, wait: Callable[[float], None] = time.sleep, tasks: int = 64) -> DataFrame:
+    """Call the jobs of a table (``job_id``, and ``api`` and ``params`` as JSON text), dealt over so many tasks."""
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for job_id, api, params in zip(batch.job_id, batch.api, batch.params, strict=True):
+                yield pd.DataFrame(rows_of({"job_id": job_id, "api": json.loads(api), "params": json.loads(params)}, send, wait), columns=[c.split()[0] for c in SCHEMA.split(", ")])
+
+    return jobs.select("job_id", "api", "params").repartition(tasks).mapInPandas(call, SCHEMA)
+
+
+class _Jobs(InputPartition):
+    def __init__(self, jobs: list[dict]):
+        self.jobs = jobs
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.jobs, self.tape = json.loads(options["jobs"]), options.get("recorded")
+        self.jobs, self.tape, self.tasks = json.loads(options["jobs"]), options.get("recorded"), int(options.get("tasks", 64))
 
     def partitions(self) -> list[InputPartition]:
-        return [_Job(j) for j in self.jobs]
+        return [_Jobs(self.jobs[i :: self.tasks]) for i in range(min(self.tasks, len(self.jobs)))]
 
-    def read(self, partition: _Job):
+    def read(self, partition: _Jobs):
         send = recorded(self.tape) if self.tape else over_http
-        job = partition.job
-        for page, status, kind, body in fetch(job["api"], job["params"], send):
-            yield job["job_id"], page, status, kind, body
+        for job in partition.jobs:
+            yield from rows_of(job, send)
 
 
 class HttpSource(DataSource):
-    """Options: ``jobs``, a JSON list of {job_id, api, params}; ``recorded``, a file of answers to use in place of the network."""
+    """Options: ``jobs``, a JSON list of {job_id, api, params}; ``tasks``, how many they are dealt over; ``recorded``, a file of answers to use in place of the
+    network. For jobs of a table, see ``responses``."""
 
     @classmethod
     def name(cls) -> str:
