@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill import schemas
 from tidemill.functions import template, timefn
-from tidemill.operators import jobs, parse, save
+from tidemill.operators import browse, jobs, parse, save
+from tidemill.plans import generate, run
+from tidemill.sources import http, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, tuple[Query, str]] = {}
@@ -140,10 +144,41 @@ def _delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("r")["text"].alias("text"), F.col("r")["source"].alias("source"))
 
 
-@_query("typed_coercion", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value, 0 AS bad FROM events")
+_FORMS = "CASE event_id % 9 WHEN 0 THEN ' ' || k || ' ' WHEN 1 THEN k || '.0' WHEN 2 THEN k || '.5' WHEN 3 THEN '1_' || k WHEN 4 THEN '1,' || k WHEN 5 THEN '' WHEN 6 THEN NULL WHEN 7 THEN 'x' || k ELSE '-' || k END"
+
+
+@_query(
+    "typed_coercion",
+    """SELECT event_id, CASE event_id % 9 WHEN 0 THEN k WHEN 1 THEN k WHEN 3 THEN CAST('1' || k AS BIGINT) WHEN 8 THEN -k END AS n,
+    CASE event_id % 9 WHEN 0 THEN k WHEN 1 THEN k WHEN 2 THEN k + 0.5 WHEN 3 THEN CAST('1' || k AS DOUBLE) WHEN 8 THEN -k END AS x,
+    CASE WHEN event_id % 9 <> 6 AND length(CAST(k AS VARCHAR)) + CASE event_id % 9 WHEN 8 THEN 1 WHEN 7 THEN 1 WHEN 5 THEN -length(CAST(k AS VARCHAR)) ELSE 2 END <= 3 THEN form END AS t,
+    (event_id % 9 IN (2, 4, 5, 7))::INT + (event_id % 9 IN (4, 5, 7))::INT + (length(form) > 3)::INT AS bad
+    FROM (SELECT event_id, k, """
+    + _FORMS
+    + """ AS form FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)) WHERE form IS NOT NULL
+    UNION ALL SELECT event_id, NULL, NULL, NULL, 0 FROM events WHERE event_id % 9 = 6""",
+)
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _t(spark, sf_dir, "events").select("event_id", F.concat(F.lit(" "), parse.json_scalar(F.col("props"), "k"), F.lit(".0")).alias("k"), F.col("value").cast("string").alias("value"))
-    return save.typed(rows, T.StructType([T.StructField("k", T.LongType()), T.StructField("value", T.DoubleType())]))
+    rows = _t(spark, sf_dir, "events").select("event_id", parse.json_scalar(F.col("props"), "k").alias("k")).select("event_id", F.expr(_FORMS).alias("form"))
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("t", T.StringType(), True, {"length": 3})])
+    return save.typed(rows.select("event_id", *(F.col("form").alias(f.name) for f in schema)), schema)
+
+
+_JSON_FORMS = "CASE event_id % 8 WHEN 0 THEN k WHEN 1 THEN k || '.0' WHEN 2 THEN k || '.5' WHEN 3 THEN '\"' || k || '\"' WHEN 4 THEN 'true' WHEN 5 THEN 'null' WHEN 6 THEN '[' || k || ']' ELSE '\"x\"' END"
+
+
+@_query(
+    "typed_json",
+    """SELECT event_id, 'ev' AS api_id, 'ev_' || event_id AS job_id, CASE WHEN event_id % 8 IN (0, 1, 3) THEN k WHEN event_id % 8 = 4 THEN 1 END AS n,
+    CASE WHEN event_id % 8 IN (0, 1, 3) THEN k WHEN event_id % 8 = 2 THEN k + 0.5 WHEN event_id % 8 = 4 THEN 1 END AS x, CASE event_id % 8 WHEN 3 THEN CAST(k AS VARCHAR) WHEN 7 THEN 'x' END AS t, event_type AS kind,
+    (event_id % 8 IN (2, 6, 7))::INT + (event_id % 8 IN (6, 7))::INT + (event_id % 8 IN (0, 1, 2, 4, 6))::INT AS bad FROM (SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
+)
+def _typed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select("event_id", "event_type", parse.json_scalar(F.col("props"), "k").alias("k")).select("event_id", "event_type", F.expr(_JSON_FORMS).alias("form"))
+    record = F.concat(*(x for name in ("n", "x", "t") for x in (F.lit(f'{"{" if name == "n" else ","}"{name}":'), F.col("form"))), F.lit(',"unknown":1}'))
+    rows = rows.select("event_id", F.lit("ev").alias("api_id"), jobs.job_id(F.lit("ev"), [F.col("event_id")]).alias("job_id"), F.to_json(F.struct(F.col("event_type").alias("kind"))).alias("key_params"), record.alias("record"))
+    schema = T.StructType([T.StructField("api_id", T.StringType()), T.StructField("job_id", T.StringType()), T.StructField("n", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("t", T.StringType()), T.StructField("kind", T.StringType())])
+    return save.typed_records(rows, schema, ["event_id"]).withColumnRenamed("run_event_id", "event_id")
 
 
 @_query("generic_rows", "SELECT 'ev' AS api_id, 'ev_' || event_id AS job_id, CAST(json_object('user_id', user_id) AS VARCHAR) AS key_params_json, CAST(json_object('event_type', event_type, 'props', props) AS VARCHAR) AS result_json FROM events")
@@ -171,9 +206,29 @@ def _overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return save.overwrite(old.select("job_id", "o_orderkey", "price"), again.filter("o_orderstatus = 'F'").select("job_id", "o_orderkey", "price"), again)
 
 
-@_query("count_by_table", "SELECT event_type AS table_name, count(*) AS n FROM events GROUP BY 1")
+@_query(
+    "count_by_table",
+    """SELECT job_id, string_agg(t || ': ' || n, ', ' ORDER BY t) AS description FROM (SELECT 'u_' || user_id AS job_id, CASE event_type WHEN 'click' THEN 'clicks' ELSE 'others' END AS t, count(*) AS n
+    FROM events GROUP BY 1, 2) GROUP BY 1""",
+)
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("table_name")).agg(F.count("*").alias("n"))
+    rows = _t(spark, sf_dir, "events").select(jobs.job_id(F.lit("u"), [F.col("user_id")]).alias("job_id"), F.when(F.col("event_type") == "click", "a").otherwise("b").alias("selector"))
+    return save.counts_text(save.counts_by_table(rows, {"a": "clicks", "b": "others"}))
+
+
+@_query("save_append", "SELECT o_orderkey, o_totalprice AS price FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, -o_totalprice FROM orders WHERE o_orderstatus <> 'O'")
+def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders")
+    new = rows.filter("o_orderstatus != 'O'").select("o_orderkey", (-F.col("o_totalprice")).alias("price"))
+    return save.append(rows.filter("o_orderstatus = 'F'").select("o_orderkey", F.col("o_totalprice").alias("price")), new)
+
+
+@_query("csv_restore", "SELECT c_custkey, nullif(CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END, '') AS c_name, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS c_acctbal FROM customer")
+def _restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_name")).alias("c_name"), F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal")
+    )
+    return save.restore(rows, T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("c_acctbal", T.DoubleType())]))
 
 
 @_query("result_page", "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 100 OFFSET 50")
@@ -187,6 +242,65 @@ def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return save.recent_logs(rows, "click")
 
 
+@_query("result_by_id", "SELECT * FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)")
+def _by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders")
+    row = browse.by_key(rows, "o_orderkey", rows.agg(F.max("o_orderkey")).first()[0])
+    return spark.createDataFrame([tuple(row[c] for c in rows.columns)], rows.schema)
+
+
+@_query("job_logs", "SELECT event_id AS id, 'u_' || user_id AS job_id, event_type AS status, ts AS executed_at FROM events WHERE user_id = (SELECT min(user_id) FROM events) ORDER BY ts DESC, event_id DESC LIMIT 20 OFFSET 2")
+def _job_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events")
+    logs = rows.select(F.col("event_id").alias("id"), jobs.job_id(F.lit("u"), [F.col("user_id")]).alias("job_id"), F.col("event_type").alias("status"), F.col("ts").alias("executed_at"))
+    return save.recent_logs(logs, limit=20, offset=2, job=f"u_{rows.agg(F.min('user_id')).first()[0]}")
+
+
+@_query("pending_jobs", "SELECT event_id, event_type AS execution_cycle FROM events WHERE event_type = 'click' AND user_id % 2 = 0")
+def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("execution_cycle"), (F.col("user_id") % 2 == 0).alias("is_active"))
+    return jobs.pending(rows, "click").drop("is_active")
+
+
+@_query(
+    "generated_jobs",
+    """SELECT 'a_' || n_name || '_' || r_name AS job_id, 'b' AS build_id, 'a' AS api_id, '{"DAY":"20240229","NATION":"' || n_name || '","REGION":"' || r_name || '"}' AS params_json, true AS is_active,
+    'overwrite' AS save_mode, 'daily' AS execution_cycle FROM nation, region WHERE NOT (n_name = (SELECT min(n_name) FROM nation))""",
+)
+def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for name in ("nation", "region"):
+        _t(spark, sf_dir, name).createOrReplaceTempView(f"axis_{name}")
+    spec = {"NATION": {"db": "SELECT n_name FROM axis_nation"}, "REGION": {"db": "SELECT r_name FROM axis_region"}, "DAY": {"date": "last_month"}}
+    builder = {"build_id": "b", "api_id": "a", "macro_params_json": spec, "save_mode": None, "execution_cycle": "daily"}
+    none = spark.createDataFrame([], "job_id string, params_json string")
+    every = jobs.build(spark, builder, {"key_params_list": ["NATION", {"REGION": "region"}]}, none, date(2024, 3, 31))
+    first = _t(spark, sf_dir, "nation").agg(F.min("n_name").alias("least"))
+    old = every.join(first, F.get_json_object("params_json", "$.NATION") == F.col("least"), "left_semi")
+    return jobs.build(spark, builder, {"key_params_list": ["NATION", {"REGION": "region"}]}, old, date(2024, 3, 31))
+
+
+_CYCLE_SQL = """SELECT 'n_' || n_name AS job_id, CASE WHEN n_nationkey % 5 = 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status, n_nationkey % 5 = 3 AS is_active, CASE WHEN n_nationkey % 5 <> 3 THEN 'nation_rows: ' || n_nationkey % 4 END AS description,
+  CASE WHEN n_nationkey % 5 = 3 THEN 0 ELSE n_nationkey % 4 END AS n_rows, CASE WHEN n_nationkey % 5 <> 3 AND n_nationkey % 4 > 0 THEN CAST((n_nationkey % 4) * n_nationkey AS DOUBLE) END AS total FROM nation"""
+
+
+@_query("run_cycle", _CYCLE_SQL)
+def _cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cycle over recorded answers: a job for each nation, some with a value that can't be read, some without a record."""
+    names = [(r.n_name, r.n_nationkey) for r in _t(spark, sf_dir, "nation").select("n_name", "n_nationkey").collect()]
+    held = {f"http://x/{n}": ["application/json", json.dumps({"items": [{"value": "bad" if k % 5 == 3 else str(k)}] * (max(k % 4, 1) if k % 5 == 3 else k % 4)})] for n, k in names}
+    schemas.register("nation_rows", T.StructType([T.StructField("id", T.LongType()), T.StructField("api_id", T.StringType()), T.StructField("job_id", T.StringType()), T.StructField("name", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("updated_at", T.TimestampNTZType())]))
+    store = tables.Tables(spark, tables.scratch(spark))
+    api = {"api_id": "n", "api_name": "n", "api_group": "g", "request_type": "get", "api_url": "http://x/:NAME", "header_json": {}, "output_tables_json": {"items": "nation_rows"}, "key_params_list": ["NAME"]}
+    browse.Config(store, "api_mst").create(api)
+    _t(spark, sf_dir, "nation").createOrReplaceTempView("axis_nation")
+    browse.Config(store, "api_job_builder").create({"build_id": "b", "api_id": "n", "macro_params_json": {"NAME": {"db": "SELECT n_name FROM axis_nation"}}, "is_active": True})
+    generate.some(store, date(2024, 3, 31), "daily")
+    run.cycle(store, "daily", datetime(2024, 3, 31), send=http.replies(held), wait=lambda _: None)
+    rows = store.results("nation_rows").groupBy("job_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+    jobs_now = store.read("api_job").select("job_id", "is_active", "description")
+    return store.read("api_job_log").select("job_id", "status").join(jobs_now, "job_id").join(rows, "job_id", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
 @_query("tick_5m_window", "SELECT event_id, isodow(ts) < 6 AND strftime(ts, '%H:%M') BETWEEN '08:40' AND '16:45' AND minute(ts) % 5 = 0 AND second(ts) = 0 AS fires FROM events")
 def _tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", timefn.on_tick(F.col("ts"), "08:40", "16:45", 5).alias("fires"))
