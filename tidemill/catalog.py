@@ -144,14 +144,14 @@ def _delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("r")["text"].alias("text"), F.col("r")["source"].alias("source"))
 
 
-_FORMS = "CASE event_id % 9 WHEN 0 THEN ' ' || k || ' ' WHEN 1 THEN k || '.0' WHEN 2 THEN k || '.5' WHEN 3 THEN '1_' || k WHEN 4 THEN '1,' || k WHEN 5 THEN '' WHEN 6 THEN NULL WHEN 7 THEN 'x' || k ELSE '-' || k END"
+_FORMS = "CASE event_id % 9 WHEN 0 THEN ' ' || k || ' ' WHEN 1 THEN k || '.0' WHEN 2 THEN k || '.5' WHEN 3 THEN '1_' || k WHEN 4 THEN '1,' || k WHEN 5 THEN '' WHEN 6 THEN NULL WHEN 7 THEN 'x' || k ELSE '-1' || k END"
 
 
 @_query(
     "typed_coercion",
-    """SELECT event_id, CASE event_id % 9 WHEN 0 THEN k WHEN 1 THEN k WHEN 3 THEN CAST('1' || k AS BIGINT) WHEN 8 THEN -k END AS n,
-    CASE event_id % 9 WHEN 0 THEN k WHEN 1 THEN k WHEN 2 THEN k + 0.5 WHEN 3 THEN CAST('1' || k AS DOUBLE) WHEN 8 THEN -k END AS x,
-    CASE WHEN event_id % 9 <> 6 AND length(CAST(k AS VARCHAR)) + CASE event_id % 9 WHEN 8 THEN 1 WHEN 7 THEN 1 WHEN 5 THEN -length(CAST(k AS VARCHAR)) ELSE 2 END <= 3 THEN form END AS t,
+    """SELECT event_id, CASE event_id % 9 WHEN 0 THEN k WHEN 1 THEN k WHEN 3 THEN CAST('1' || k AS BIGINT) WHEN 8 THEN -CAST('1' || k AS BIGINT) END AS n,
+    CASE event_id % 9 WHEN 0 THEN k WHEN 1 THEN k WHEN 2 THEN k + 0.5 WHEN 3 THEN CAST('1' || k AS DOUBLE) WHEN 8 THEN -CAST('1' || k AS DOUBLE) END AS x,
+    CASE WHEN event_id % 9 <> 6 AND length(CAST(k AS VARCHAR)) + CASE event_id % 9 WHEN 7 THEN 1 WHEN 5 THEN -length(CAST(k AS VARCHAR)) ELSE 2 END <= 3 THEN form END AS t,
     (event_id % 9 IN (2, 4, 5, 7))::INT + (event_id % 9 IN (4, 5, 7))::INT + (length(form) > 3)::INT AS bad
     FROM (SELECT event_id, k, """
     + _FORMS
