@@ -334,3 +334,20 @@ def test_private_data_matches_plain_patterns_and_learns_context(spark, docs):
         assert got[i].base_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert (got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone) == tuple(sum(k == x for *_, k in want) for x in pii_bootstrap.KINDS)
     assert got[-6010].spans == "context:19:32" and got[-6010].n_context == 1
+
+
+def test_private_data_in_a_text_with_very_many_matches(spark):
+    n = 100_000
+    row = pii_bootstrap.find(spark.createDataFrame([(1, "a@b.cd 1.2.3.4 123456x " * n)], "doc_id long, text string")).first()
+    assert (row.n_email, row.n_ip) == (n, n)
+    assert row.spans.startswith("email:0:6,ip:7:14,email:23:29") and row.spans.count(",") == 2 * n - 1
+
+
+def test_private_data_patterns_find_an_unseen_identifier_in_prose(spark, docs):
+    prose = [r.text for r in docs.filter("text is not null").orderBy("doc_id").limit(40).collect()]
+    rows = [(i, f"{t[: len(t) // 2]} Kontakt Konto: +49 30 555 {1000 + i} danach {t[len(t) // 2 :]}") for i, t in enumerate(prose[:-1])]
+    rows.append((1000, f"{prose[-1]} Kontakt Konto: DE12-9988-7766 danach"))
+    rows.append((1001, f"{prose[-1]} Artikel Nummer: DE12-9988-7755 danach"))
+    got = {r.doc_id: r for r in pii_bootstrap.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    at = rows[-2][1].index("DE12")
+    assert f"context:{at}:{at + 14}" in got[1000].spans and got[1001].n_context == 0

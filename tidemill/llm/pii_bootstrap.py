@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.stage import drop, settle
@@ -27,24 +27,10 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _INK, _GAP = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
 #: An identifier-like token: a run of other than white space with an at sign or six digits.
 _TOKEN = rf"(?<!{_INK})(?=[^\x20\x09-\x0D@]*+@|(?:[^\x20\x09-\x0D0-9]*+[0-9]){{6}}){_INK}++"
-_SPAN = "struct<from:int,to:int,value:string,ahead:string,behind:string>"
-#: Code points around a match that its patterns may use.
-AROUND = 64
-
-
-def _spans(parts: str, hits: str) -> Column:
-    """Code point limits and surroundings of matches, from the pieces between them and the matches themselves."""
-    step = f"cast(s.at + char_length({parts}[i]) as int)"
-    around = f"lower(substring({parts}[i], -{AROUND}, {AROUND})) as ahead, lower(substring({parts}[i + 1], 1, {AROUND})) as behind"
-    return F.expr(
-        f"""if(size({hits}) = 0, cast(array() as array<{_SPAN}>), aggregate(sequence(0, size({hits}) - 1),
-        struct(0 as at, cast(array() as array<{_SPAN}>) as out),
-        (s, i) -> struct({step} + char_length({hits}[i]) as at, array_append(s.out, struct({step} as from, {step} + char_length({hits}[i]) as to, {hits}[i] as value, {around})) as out)).out)"""
-    )
 
 
-def _digits(x: Column) -> Column:
-    return F.regexp_replace(x["value"], "[^0-9]", "")
+def _digits(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
 
 
 def _luhn(digits: Column) -> Column:
@@ -57,48 +43,73 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.char_length(digits)), F.lit(0), add) % 10 == 0
 
 
-def _valid(kind: str) -> Callable[[Column], Column]:
+def _valid(rank: Column, value: Column) -> Column:
+    """Whether a match is one of its kind (by its place in KINDS; tokens always are)."""
     byte = "^(?:[0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
-    return {
-        "email": lambda x: F.lit(True),
-        "ip": lambda x: F.forall(F.split(x["value"], r"\."), lambda p: F.ltrim(p, F.lit("0")).rlike(byte)),
-        "card": lambda x: F.char_length(_digits(x)).between(14, 19) & _luhn(_digits(x)),
-        "phone": lambda x: F.char_length(_digits(x)).between(10, 15),
-    }[kind]
+    digits = _digits(value)
+    return (
+        F.when(rank == 1, F.forall(F.split(value, r"\."), lambda p: F.ltrim(p, F.lit("0")).rlike(byte)))
+        .when(rank == 2, F.when(F.char_length(digits).between(14, 19), _luhn(digits)).otherwise(False))
+        .when(rank == 3, F.char_length(digits).between(10, 15))
+        .otherwise(True)
+    )
 
 
-def _labelled(rank: int, kind: str) -> Callable[[Column], Column]:
-    return lambda x: F.struct(x["from"].alias("from"), F.lit(rank).alias("rank"), x["to"].alias("to"), F.lit(kind).alias("kind"))
+def _around(part: Column, n: int) -> Column:
+    """The last n words of a piece of text, one space between them; empty if it has fewer."""
+    found = F.regexp_extract(part, rf"(?<!{_INK})(?:{_INK}++{_GAP}++){{{n - 1}}}{_INK}++{_GAP}*+$", 0)
+    return F.trim(F.regexp_replace(found, rf"{_GAP}+", " "))
 
 
-def _found(docs: DataFrame) -> DataFrame:
-    """Plain spans and identifier-like tokens of every row, without its text."""
-    text = F.col("text")
-    for kind, pattern in zip((*KINDS, "token"), (_EMAIL, _IP, _CARD, _PHONE, _TOKEN), strict=True):
+def _matches(docs: DataFrame) -> DataFrame:
+    """All matches of every row as an array, without its text: kind, place among its kind, code points since the match before, length, value, and the
+    words around it (up to the matches of its kind beside it), in lower case."""
+    text, held = F.col("text"), []
+    for rank, (kind, pattern) in enumerate(zip((*KINDS, "token"), (_EMAIL, _IP, _CARD, _PHONE, _TOKEN), strict=True)):
         gate = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}.get(kind, text.rlike("[0-9@]"))
         docs = docs.withColumn(f"{kind}_hits", F.when(gate, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
         docs = docs.withColumn(f"{kind}_parts", F.when(F.size(f"{kind}_hits") > 0, F.split(text, pattern, -1)))
-    for kind in KINDS:
-        docs = docs.withColumn(kind, F.filter(_spans(f"{kind}_parts", f"{kind}_hits"), _valid(kind)))
-    docs = docs.withColumn("token", _spans("token_parts", "token_hits"))
-    plain = F.concat(*(F.transform(kind, _labelled(rank, kind)) for rank, kind in enumerate(KINDS)))
-    docs = docs.withColumn("plain", F.array_sort(plain)).withColumn("seeds", F.concat(*KINDS))
-    docs = docs.withColumn("others", F.expr("filter(token, t -> not exists(plain, p -> p.from < t.to and p.to > t.from))"))
-    return docs.select("row", "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), "plain", "seeds", "others")
+
+        def one(hit: Column, i: Column, rank: int = rank, kind: str = kind) -> Column:
+            ahead, behind = F.lower(F.get(f"{kind}_parts", i)), F.lower(F.get(f"{kind}_parts", i + 1))
+            return F.struct(
+                F.lit(rank).alias("rank"), i.alias("i"), F.char_length(F.get(f"{kind}_parts", i)).alias("gap"), F.char_length(hit).alias("size"), hit.alias("value"),
+                _around(ahead, 1).alias("one"), _around(ahead, 3).alias("three"), F.regexp_extract(behind, rf"^{_GAP}++({_INK}++)", 1).alias("after"),
+            )
+
+        held.append(_indexed(f"{kind}_hits", one))
+    return docs.select("row", "doc_id", F.concat(*held).alias("found"))
+
+
+def _indexed(hits: str, one: Callable[[Column, Column], Column]) -> Column:
+    return F.transform(F.col(hits), lambda hit, i: one(hit, i))
+
+
+def _spans(found: DataFrame) -> DataFrame:
+    """One row for each valid match (row, rank, from, to, value as a digest, and the words around); tokens that overlap a plain match are left out.
+
+    Limits are running sums over a row's matches, overlaps a sweep over them in order, so a text with very many matches takes no more for each.
+    """
+    spans = found.select("row", F.explode("found").alias("x")).select("row", "x.*").repartition("row")
+    own = Window.partitionBy("row", "rank").orderBy("i")
+    spans = spans.withColumn("to", F.sum(F.col("gap") + F.col("size")).over(own).cast("int")).withColumn("from", F.col("to") - F.col("size")).filter(_valid(F.col("rank"), F.col("value")))
+    order = Window.partitionBy("row")
+    plain = F.col("rank") < len(KINDS)
+    reach = F.max(F.when(plain, F.col("to"))).over(order.orderBy("from", "rank").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ahead = F.min(F.when(plain, F.col("from"))).over(order.orderBy(F.desc("from"), F.desc("rank")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = spans.withColumns({"reach": reach, "next": ahead}).filter("rank < 4 or (coalesce(reach, 0) <= `from` and coalesce(next, `to`) >= `to`)")
+    return spans.select("row", "rank", "from", "to", F.sha2("value", 256).alias("value"), "one", "three", "after")
 
 
 def _patterns(tokens: DataFrame) -> DataFrame:
     """One row for each token and lexical pattern around it."""
-    word = lambda c, n: F.regexp_extract(c, rf"(?<!{_INK})(?:{_INK}++{_GAP}++){{{n - 1}}}{_INK}++{_GAP}*+$", 0)
-    clean = lambda c: F.trim(F.regexp_replace(c, rf"{_GAP}+", " "))
-    one, three = clean(word(F.col("ahead"), 1)), clean(word(F.col("ahead"), 3))
-    after = F.regexp_extract("behind", rf"^{_GAP}++({_INK}++)", 1)
+    one, three, after = F.col("one"), F.col("three"), F.col("after")
     made = F.array(
         F.when(one.rlike("[:=#]$"), F.concat(F.lit("label "), one)),
         F.when(three != "", F.concat(F.lit("ahead "), three)),
         F.when((one != "") & (after != ""), F.concat(F.lit("around "), one, F.lit(" _ "), after)),
     )
-    return tokens.withColumn("pattern", F.explode(F.array_compact(made)))
+    return tokens.withColumn("pattern", F.explode(F.array_compact(made))).drop("one", "three", "after")
 
 
 def _learn(tokens: DataFrame, rounds: int) -> DataFrame:
@@ -127,14 +138,17 @@ def find(docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_col
     around a pattern, so repeated rows change nothing. Other columns are ignored; an empty table gives no rows.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    found = settle(_found(rows))
-    parts = [found.select("row", F.explode(c).alias("x"), F.lit(c == "seeds").alias("seed")) for c in ("seeds", "others")]
-    tokens = parts[0].union(parts[1]).select("row", "x.from", "x.to", F.sha2("x.value", 256).alias("value"), "seed", "x.ahead", "x.behind")
-    tokens = settle(_patterns(tokens).select("row", "from", "to", "value", "seed", "pattern"))
+    found = settle(_matches(rows))
+    spans = settle(_spans(found))
+    tokens = settle(_patterns(spans.withColumn("seed", F.col("rank") < len(KINDS))))
     known = _learn(tokens, rounds)
-    extra = tokens.filter("not seed").select("row", "from", "to", "value").distinct().join(known, "value").groupBy("row")
-    extra = extra.agg(F.collect_list(F.struct("from", F.lit(len(KINDS)).alias("rank"), "to", F.lit("context").alias("kind"))).alias("extra"))
-    said = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["from"], x["to"])), ",")
-    out = found.drop("seeds", "others").join(extra, "row", "left")
-    every = F.when(F.col("extra").isNull(), F.col("plain")).otherwise(F.array_sort(F.concat("plain", "extra")))
-    return out.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2(said(F.col("plain")), 256).alias("base_sha256"), said(every).alias("spans"), F.coalesce(F.size("extra"), F.lit(0)).cast("long").alias("n_context"))
+    extra = tokens.filter("not seed").select("row", "rank", "from", "to", "value").distinct().join(known, "value").select("row", "rank", "from", "to")
+    plain = spans.filter(F.col("rank") < len(KINDS)).select("row", "rank", "from", "to")
+    kind = F.element_at(F.array(*map(F.lit, (*KINDS, "context"))), F.col("rank") + 1)
+    said = F.struct("from", "rank", "to", F.concat_ws(":", kind, "from", "to").alias("said"))
+    each = plain.union(extra).groupBy("row").agg(F.array_sort(F.collect_list(said)).alias("all"))
+    join = lambda spans: F.array_join(F.transform(spans, lambda x: x["said"]), ",")
+    count = lambda rank: F.coalesce(F.size(F.filter("all", lambda x: x["rank"] == rank)), F.lit(0)).cast("long")
+    out = found.select("row", "doc_id").join(each, "row", "left")
+    base = F.coalesce(join(F.filter("all", lambda x: x["rank"] < len(KINDS))), F.lit(""))
+    return out.select("doc_id", *(count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)), F.sha2(base, 256).alias("base_sha256"), F.coalesce(join(F.col("all")), F.lit("")).alias("spans"), count(len(KINDS)).alias("n_context"))
