@@ -1,7 +1,10 @@
 """Quality rules by line sequence labelling: a linear-chain CRF marks each line as content or boilerplate.
 
-Viterbi decoding gives a document's best label sequence; the share of its words in content lines decides whether it is
-kept. Cheap base rules on length and repetition come first.
+The model is fitted on sequences whose lines differ. Only documents are labelled, so lines start from their form (a line of
+marks, pipes, capitals, echoes or copies is boilerplate, a sentence is content, any other line follows its document), and the
+model is fitted anew on its own best labels, which the document's label only leans on. Viterbi decoding gives a document's
+best label sequence; the share of its words in content lines decides whether it is kept. Cheap base rules on length and
+repetition come first.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from tidemill.llm import textkit
 TRAINING_DOCUMENTS = 1500
 #: A training document is cut into sequences of so many lines.
 SEQUENCE = 48
+#: Times the model is fitted, each but the first on the labels of the one before; score by which a document's label leans on its lines.
+ROUNDS, LEAN = 2, 0.5
 #: Least share of a document's words in content lines.
 CONTENT_SHARE = 0.5
 _SYMBOLS = np.zeros(256, bool)
@@ -33,7 +38,7 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _FINAL = np.zeros(256, bool)
 _FINAL[list(b".!?:;\"')")] = True
-FEATURES = ("bias", "words", "word_length", "symbols", "capitals", "digits", "ends", "repeated", "pipes", "short")
+FEATURES = ("bias", "words", "word_length", "symbols", "capitals", "digits", "ends", "repeated", "pipes", "short", "echoes")
 
 
 def _sums(mask: np.ndarray) -> np.ndarray:
@@ -95,6 +100,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> _Block:
     capitals, small = (_sums(m[data]) for m in (_UPPER, _LOWER))
     capitals, small = capitals[right] - capitals[left], small[right] - small[left]
     pipe = _sums(data == 124)
+    echo = _sums(np.append(False, hashes[1:] == hashes[:-1])[: len(hashes)])
     last = starts.searchsorted(right) - 1
     tail = np.where(in_line > 0, data[np.maximum(ends[np.maximum(last, 0)] - 1, 0)] if len(ends) and len(data) else 0, 0)
     features = np.stack(
@@ -109,6 +115,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> _Block:
             np.abs(copies) > 1,
             np.minimum((pipe[right] - pipe[left]) / np.maximum(in_line, 1), 1),
             in_line < 4,
+            (echo[np.searchsorted(starts, right)] - echo[np.searchsorted(starts, left)]) / np.maximum(in_line, 1),
         ],
         axis=1,
     ).astype(np.float64)
@@ -132,22 +139,24 @@ class LineCRF:
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
 
     @classmethod
-    def fit(cls, features: list[np.ndarray], labels: list[int], steps: int = 150, rate: float = 0.1, decay: float = 1e-3) -> LineCRF:
-        """Maximise the conditional likelihood of sequences whose lines all have the sequence's label, classes weighted
-        equally, by full-batch gradient steps (Adam). Without both classes the weights stay zero: all is content."""
+    def fit(cls, features: list[np.ndarray], labels: list[np.ndarray], steps: int = 100, rate: float = 0.1, decay: float = 1e-3) -> LineCRF:
+        """Maximise the conditional likelihood of label sequences, classes of lines weighted equally, by full-batch gradient
+        steps (Adam). Without both classes the weights stay zero: all is content."""
         out = cls()
-        if len({*labels}) < 2:
+        if not labels or len(np.unique(np.concatenate(labels))) < 2:
             return out
-        parts = [(x[i : i + SEQUENCE], y) for x, y in zip(features, labels, strict=True) for i in range(0, len(x), SEQUENCE)]
+        parts = [(x[i : i + SEQUENCE], y[i : i + SEQUENCE]) for x, y in zip(features, labels, strict=True) for i in range(0, len(x), SEQUENCE)]
         n, longest = len(parts), max(len(x) for x, _ in parts)
         lengths = np.array([len(x) for x, _ in parts])
         wide = np.zeros((n, longest, len(FEATURES)))
         for i, (x, _) in enumerate(parts):
             wide[i, : len(x)] = x
-        gold = np.array([y for _, y in parts])
         live = np.arange(longest) < lengths[:, None]
-        amount = np.bincount(gold, lengths, 2)
-        weight = (lengths.sum() / 2 / amount)[gold]
+        gold = np.zeros((n, longest), np.int64)
+        for i, (_, y) in enumerate(parts):
+            gold[i, : len(y)] = y
+        each = np.stack([((gold == c) & live).sum(axis=1) for c in (0, 1)], axis=1)
+        weight = each @ (lengths.sum() / 2 / np.maximum(each.sum(axis=0), 1)) / lengths
         total = (weight * lengths).sum()
         theta, m, v = np.zeros(len(FEATURES) * 2 + 4), 0.0, 0.0
         for step in range(1, steps + 1):
@@ -170,9 +179,12 @@ class LineCRF:
                 pairs += joint * on[:, None, None]
             chance = np.exp(ahead + back - norm[:, None, None]) * live[..., None]
             wanted = np.zeros_like(chance)
-            wanted[np.arange(n), :, gold] = live
-            moved = np.zeros((n, 2, 2))
-            moved[np.arange(n), gold, gold] = lengths - 1
+            for c in (0, 1):
+                wanted[..., c] = (gold == c) & live
+            if step == 1:
+                moved = np.zeros((n, 2, 2))
+                for a, b in ((0, 0), (0, 1), (1, 0), (1, 1)):
+                    moved[:, a, b] = ((gold[:, :-1] == a) & (gold[:, 1:] == b) & live[:, 1:]).sum(axis=1)
             grad = np.concatenate(
                 [np.einsum("i,itf,itk->fk", weight, wide, wanted - chance, optimize=True).ravel(), np.einsum("i,ijk->jk", weight, moved - pairs).ravel()]
             ) / total - decay * theta
@@ -181,11 +193,12 @@ class LineCRF:
         out.emit, out.move = theta[:-4].reshape(-1, 2), theta[-4:].reshape(2, 2)
         return out
 
-    def decode(self, features: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """The best label of each line; lines of a document stand together. All documents advance a line at a time."""
+    def decode(self, features: np.ndarray, docs: np.ndarray, lean: np.ndarray | float = 0.0) -> np.ndarray:
+        """The best label of each line; lines of a document stand together. All documents advance a line at a time. ``lean`` is added to boilerplate."""
         if not len(docs):
             return np.zeros(0, np.int64)
         score = features @ self.emit
+        score[:, 1] += lean
         first = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
         lengths = np.diff(np.append(first, len(docs)))
         order = np.argsort(-lengths, kind="stable")
@@ -205,24 +218,54 @@ class LineCRF:
         return labels
 
 
+_AT = {name: i for i, name in enumerate(FEATURES)}
+
+
+def first_labels(features: np.ndarray, quality: int) -> np.ndarray:
+    """Labels of a training document's lines by their form, and by the document's quality (1: content) where the form says nothing."""
+    x = {name: features[:, i] for name, i in _AT.items()}
+    odd = (x["pipes"] > 0.2) | (x["symbols"] > 0.3) | (x["capitals"] > 0.7) | (x["repeated"] > 0) | (x["digits"] > 0.3) | (x["echoes"] > 0.3)
+    sentence = ~odd & (x["ends"] > 0) & (x["short"] == 0)
+    return np.where(odd, 1, np.where(sentence, 0, 1 - quality))
+
+
+def learn(features: list[np.ndarray], quality: list[int], rounds: int = ROUNDS) -> LineCRF:
+    """Fit the model on line labels that start from the lines' form and then are the model's own, leaning on the documents' quality."""
+    if len({*quality}) < 2:
+        return LineCRF()
+    labels = [first_labels(x, q) for x, q in zip(features, quality, strict=True)]
+    model = LineCRF.fit(features, labels)
+    docs = np.repeat(np.arange(len(features)), [len(x) for x in features])
+    lean = np.where(np.array(quality) == 1, -LEAN, LEAN)[docs]
+    for _ in range(rounds - 1):
+        found = model.decode(np.concatenate(features), docs, lean)
+        labels = np.split(found, np.cumsum([len(x) for x in features])[:-1])
+        model = LineCRF.fit(features, labels)
+    return model
+
+
 def _features(batches):
+    """The lines' features of training documents: of a long one its first, middle and last sequences."""
     for batch in batches:
         for at, data, offsets in textkit.blocks(batch.column("text"), 1 << 19):
             block = _measure(data, offsets)
             cut = np.searchsorted(block.line_docs, np.arange(len(offsets)))
-            rows = [block.features[a:b].ravel() for a, b in zip(cut, cut[1:], strict=False)]
+            rows = []
+            for a, b in zip(cut, cut[1:], strict=False):
+                starts = [a, (a + b - SEQUENCE) // 2, b - SEQUENCE] if b - a > 3 * SEQUENCE else range(a, b, SEQUENCE)
+                rows.append(np.concatenate([block.features[i : min(i + SEQUENCE, b)] for i in starts]).ravel())
             yield pa.RecordBatch.from_arrays([batch.column("quality").slice(at, len(rows)), pa.array(rows, pa.list_(pa.float64()))], ["quality", "features"])
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS, id_col: str = "doc_id", text_col: str = "text") -> LineCRF:
-    """Fit the CRF on at most ``limit`` labelled documents with a text; every line takes its document's quality (1: content)."""
+    """Fit the CRF on at most ``limit`` labelled documents with a text, each with at most three sequences of lines."""
     known = labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1) and id is not null")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     chosen = known.orderBy(F.xxhash64("id"), "id", "quality").limit(limit)
-    # At most `limit` short rows.
+    # At most `limit` short rows; those read have 3 * SEQUENCE lines at most.
     rows = texts.join(F.broadcast(chosen), "id").select("quality", "text").mapInArrow(_features, "quality int, features array<double>").collect()
     rows.sort(key=lambda r: (r.quality, r.features))
-    return LineCRF.fit([np.array(r.features).reshape(-1, len(FEATURES)) for r in rows], [1 - r.quality for r in rows])
+    return learn([np.array(r.features).reshape(-1, len(FEATURES)) for r in rows], [r.quality for r in rows])
 
 
 def _judge(model: LineCRF, share: float):
