@@ -30,7 +30,7 @@ def odd(spark):
     """Null and empty texts, ids and sources, repeated rows, a long text and columns with clashing names."""
     rows = [(1, None, "en", "a"), (2, "", None, None), (None, "some words of a text without id", "en", "a"), (3, " \n\t\n ", "de", "b"), (4, "x " * 60_000, "en", "a"), (5, "same row twice", "en", "a"), (5, "same row twice", "en", "a"), (6, "Ünï 😀\n" * 4, "fr", None)]
     out = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    return out.withColumns({c: F.lit("clash") for c in ("id", "n", "row", "token", "key", "comp", "node", "kept", "quality", "topic", "weight")})
+    return out.withColumns({c: F.lit("clash") for c in ("id", "n", "row", "token", "key", "comp", "node", "kept", "quality", "topic", "weight", "shard", "slot", "_cell", "_hash", "cell", "place", "spans", "found", "item_id", "answer")})
 
 
 OPERATORS = {
@@ -39,6 +39,8 @@ OPERATORS = {
     "lines": lambda d, s: linededup.dedup_lines(d),
     "quality": lambda d, s: crf_quality.judge(d, crf_quality.train(d, s.createDataFrame([], "doc_id long, quality int"))),
     "shards": lambda d, s: interleave.assignments(d),
+    "sharded": lambda d, s: interleave.shard_documents(d),
+    "pages": lambda d, s: html_blocks.extract(d.withColumnRenamed("doc_id", "page_id").withColumn("url", F.lit("u")).withColumnRenamed("text", "html")),
     "mix": lambda d, s: raking.mix(d),
     "secrets": lambda d, s: secret_ownership.scan(d),
     "pii": lambda d, s: pii_bootstrap.find(d),
@@ -351,3 +353,31 @@ def test_private_data_patterns_find_an_unseen_identifier_in_prose(spark, docs):
     got = {r.doc_id: r for r in pii_bootstrap.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     at = rows[-2][1].index("DE12")
     assert f"context:{at}:{at + 14}" in got[1000].spans and got[1001].n_context == 0
+
+
+def test_lines_of_one_document_get_both_labels(spark, docs):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    model = crf_quality.train(docs, labels)
+    known = docs.join(labels, "doc_id").collect()
+    prose = [r.text for r in known if r.quality == 1 and (r.text or "").count("\n") >= 5]
+    pipes = "Ein | zwei | drei | vier.\nVon | ungein. | aus |\n!! AN !! ## THE !! && WHICH !!"
+    for text in prose[:5]:
+        mixed = "\n".join([*text.split("\n")[:3], pipes, *text.split("\n")[3:5]])
+        data = np.frombuffer(mixed.encode(), np.uint8)
+        block = crf_quality._measure(data, np.array([0, len(data)]))
+        label = model.decode(block.features, block.line_docs)
+        assert label[3:6].tolist() == [1, 1, 1] and label[:3].sum() <= 1 and {*label} == {0, 1}
+
+
+def test_shards_match_a_plain_interleaving(docs, monkeypatch):
+    monkeypatch.setattr(interleave, "CELL_ROWS", 30)
+    rows = docs.select("doc_id", "text", "source").collect()
+    by_source = collections.defaultdict(list)
+    for r in rows:
+        by_source[r.source].append((hashlib.md5(f"1:{r.doc_id}".encode()).hexdigest(), r.doc_id))
+    ranked = sorted(((i + 0.5) / len(ids), source, h, d) for source, ids in by_source.items() for i, (h, d) in enumerate(sorted(ids)))
+    want, n = {}, len(ranked)
+    for place, (*_, d) in enumerate(ranked):
+        shard = (40 * (place + 1) - 1) // n
+        want[d] = (shard, place - shard * n // 40)
+    assert {r.doc_id: (r.shard, r.slot) for r in interleave.assignments(docs).collect()} == want
