@@ -117,15 +117,36 @@ def test_cuckoo_filter():
 
 
 def test_line_index_is_reversible(spark):
-    one = spark.createDataFrame([(1, "a shared line\nfirst"), (2, "A SHARED LINE \nsecond")], "doc long, text string")
-    two = spark.createDataFrame([(3, "a shared line"), (4, "nothing common here")], "doc long, text string")
+    one = spark.createDataFrame([(1, "a shared line\nfirst"), (2, "A SHARED LINE \nsecond"), (5, "only one of these")], "doc long, text string")
+    two = spark.createDataFrame([(3, "a shared line"), (4, "nothing common here\nonly one of these")], "doc long, text string")
     built = linededup.LineIndex.build(one)
-    held = lambda x: {(r.refs, r.owner) for r in x.counts.collect()}
+    held = lambda x: {(r.k1, r.k2, r.refs, r.owner) for r in x.all_counts().collect()}
+    several = lambda x: {r[2:] for r in held(x) if r[2] > 1}
+    entries = lambda x: {r.shard: int((linededup.CuckooFilter.from_bytes(r.filter).table > 0).sum()) for r in x.all_filters().collect()}
     more = built.insert(two)
-    assert held(built) == {(2, 1)} and held(more) == {(3, 1)} and {r.doc for r in more.repeats().collect()} == {2, 3}
+    # Only what changed is written: two references of new documents, counts of the keys that they hold, a filter.
+    assert [p.count() for p, _ in more.references] == [3, 3] and [p.count() for p in more.counts][1:] == [3] and len(more.filters) == 3
+    assert several(built) == {(2, 1)} and several(more) == {(3, 1), (2, 4)} and {r.doc for r in more.repeats().collect()} == {2, 3, 5}
+    assert sum(entries(more).values()) == 2
+    back = more.delete(two.select("doc"))
+    assert held(back) == held(built) and entries(back) == entries(built) and {r.doc for r in back.repeats().collect()} == {2}
+    again = back.insert(two).compact()
+    assert held(again) == held(more) and {r.doc for r in again.repeats().collect()} == {2, 3, 5}
     less = more.delete(spark.createDataFrame([(1,)], "doc long"))
-    assert held(less) == {(2, 2)} and {r.doc for r in less.repeats().collect()} == {3}
-    assert held(less.delete(two.select("doc"))) == set()
+    assert several(less) == {(2, 2), (2, 4)} and {r.doc for r in less.repeats().collect()} == {3, 5}
+    assert held(less.delete(two.select("doc")).delete(one.select("doc"))) == set()
+
+
+def test_line_index_changes_equal_an_index_built_anew(spark):
+    luck = random.Random(8)
+    text = lambda: "\n".join(f"line number {luck.randrange(40)} of all" for _ in range(6))
+    first, second = [(i, text()) for i in range(60)], [(i, text()) for i in range(60, 110)]
+    gone = [(i,) for i in range(20, 80)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc long, text string")
+    changed = linededup.LineIndex.build(frame(first)).insert(frame(second)).delete(spark.createDataFrame(gone, "doc long"))
+    anew = linededup.LineIndex.build(frame([x for x in first + second if (x[0],) not in gone]))
+    for part in (lambda x: x.all_counts(), lambda x: x.repeats(), lambda x: x.all_references()):
+        assert sorted(map(tuple, part(changed).collect())) == sorted(map(tuple, part(anew).collect()))
 
 
 def test_line_probes_are_dealt_over_tasks_of_bounded_size(spark, monkeypatch):

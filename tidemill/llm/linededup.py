@@ -4,8 +4,13 @@ The index of a corpus has three parts, all in the shared folder:
 
 - references: one row for each (document, line key), so that documents can be taken out again;
 - counts: for each key its number of documents and the least document that holds it, exact;
-- filters: for each shard a cuckoo filter of the keys held by two documents or more. A filter supports deletion, and is
-  asked before the exact table: a line whose key it does not know is kept without a lookup.
+- filters: for each shard a cuckoo filter of the keys held by two documents or more. It is asked before the exact table: a
+  line whose key it does not know is kept without a lookup.
+
+Each part is a list of pieces. An insertion or deletion of documents writes pieces for what it changes alone: the new
+references or the ids that went, the counts of the keys they touch, and the filters of the shards in which a key came to two
+documents or fell below, with just those keys added or deleted. The last piece that has a key or a shard counts.
+``compact`` makes each part one piece again.
 
 A key's shard is a function of its hash; there are as many as the keys and the references ask for. Where a shard still has many
 references (a line that a third of all documents hold), its probes are dealt over several tasks that each get a copy of the
@@ -152,51 +157,120 @@ def _probe(key, lines, filters):
     return lines.filter(pa.array(known))
 
 
+def _change(key, changes, filters):
+    """A shard's filter with the keys added that came to two documents and those deleted that fell below."""
+    made = CuckooFilter.from_bytes(filters.column("filter")[0].as_py()) if filters.num_rows else CuckooFilter.build(np.zeros(0, np.uint64))
+    keys, up = changes.column("k2").to_numpy().view(np.uint64), changes.column("up").to_numpy(zero_copy_only=False)
+    made.delete(keys[~up])
+    whole = not made.insert(keys[up])
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([made.to_bytes() if whole else None], pa.binary())})
+
+
 @dataclass
 class LineIndex:
-    """What is known of the lines of a set of documents. Every change returns a new index; the old one stays readable."""
+    """What is known of the lines of a set of documents. Every change returns a new index; the old one stays readable.
 
-    references: DataFrame
-    counts: DataFrame
-    filters: DataFrame
+    ``references`` holds pieces (doc, k1, k2) and ``gone``, beside each, the ids deleted since; ``counts`` and ``filters`` hold pieces from old to new.
+    """
+
+    references: list[tuple[DataFrame, list[DataFrame]]]
+    counts: list[DataFrame]
+    filters: list[DataFrame]
     shards: int
     shortest: int
 
     @classmethod
     def _of(cls, references: DataFrame, shortest: int) -> LineIndex:
-        counts = settle(references.groupBy("k1", "k2").agg(F.count_distinct("doc").alias("refs"), F.min("doc").alias("owner")).filter("refs > 1"))
+        counts = settle(cls._counted(references))
         # All references are probed, those of unique lines as well.
-        shards = max(counts.count() // SHARD_KEYS, references.count() // TASK_PROBES) + 1
-        filters = settle(counts.withColumn("shard", _shard(shards)).select("shard", "k2").groupBy("shard").applyInArrow(_build, "shard int, filter binary"))
-        return cls(references, counts, filters, shards, shortest)
+        repeated = counts.filter("refs > 1")
+        shards = max(repeated.count() // SHARD_KEYS, references.count() // TASK_PROBES) + 1
+        filters = settle(repeated.withColumn("shard", _shard(shards)).select("shard", "k2").groupBy("shard").applyInArrow(_build, "shard int, filter binary"))
+        return cls([(references, [])], [counts], [filters], shards, shortest)
+
+    @staticmethod
+    def _counted(references: DataFrame) -> DataFrame:
+        return references.groupBy("k1", "k2").agg(F.count_distinct("doc").alias("refs"), F.min("doc").alias("owner"))
 
     @classmethod
     def build(cls, docs: DataFrame, shortest: int = 10) -> LineIndex:
         """Index a table of (doc long, text string)."""
-        return cls._of(settle(docs.mapInArrow(_references(shortest), _LINE)), shortest)
+        return cls._of(settle(docs.mapInArrow(_references(shortest), _LINE).filter("doc is not null")), shortest)
+
+    def all_references(self) -> DataFrame:
+        out = None
+        for piece, gone in self.references:
+            for ids in gone:
+                piece = piece.join(ids, "doc", "left_anti")
+            out = piece if out is None else out.union(piece)
+        return out
+
+    def all_counts(self) -> DataFrame:
+        """Keys with their documents and owner; keys that no document holds any more are left out."""
+        return self._last(self.counts, ["k1", "k2"], ["refs", "owner"]).filter("refs > 0")
+
+    def all_filters(self) -> DataFrame:
+        return self._last(self.filters, ["shard"], ["filter"])
+
+    @staticmethod
+    def _last(pieces: list[DataFrame], keys: list[str], values: list[str]) -> DataFrame:
+        if len(pieces) == 1:
+            return pieces[0]
+        every = None
+        for i, piece in enumerate(pieces):
+            piece = piece.select(*keys, F.struct(F.lit(i).alias("at"), *values).alias("x"))
+            every = piece if every is None else every.union(piece)
+        return every.groupBy(*keys).agg(F.max_by("x", F.col("x.at")).alias("x")).select(*keys, *(F.col(f"x.{v}").alias(v) for v in values))
+
+    def _changed(self, references: list[tuple[DataFrame, list[DataFrame]]], touched: DataFrame) -> LineIndex:
+        """The index with these references, of which those of the keys ``touched`` (k1, k2) have changed."""
+        now = LineIndex(references, self.counts, self.filters, self.shards, self.shortest)
+        touched = settle(touched.distinct())
+        counts = touched.join(self._counted(now.all_references().join(touched, ["k1", "k2"], "left_semi")), ["k1", "k2"], "left")
+        counts = settle(counts.select("k1", "k2", F.coalesce("refs", F.lit(0)).cast("long").alias("refs"), "owner"))
+        before = self.all_counts().select("k1", "k2", F.col("refs").alias("had"))
+        moved = counts.join(before, ["k1", "k2"], "left").withColumn("had", F.coalesce("had", F.lit(0))).filter("(refs > 1) != (had > 1)")
+        moved = settle(moved.select(_shard(self.shards).alias("shard"), "k2", (F.col("refs") > 1).alias("up")))
+        own = self.all_filters().join(moved.select("shard").distinct(), "shard", "left_semi")
+        filters = settle(moved.groupBy("shard").cogroup(own.groupBy("shard")).applyInArrow(_change, "shard int, filter binary"))
+        now.counts = [*self.counts, counts]
+        full = filters.filter("filter is null").select("shard")
+        # A filter without room for its new keys is built anew from its shard's keys.
+        anew = now.all_counts().filter("refs > 1").withColumn("shard", _shard(self.shards)).join(full, "shard", "left_semi").select("shard", "k2")
+        anew = settle(anew.groupBy("shard").applyInArrow(_build, "shard int, filter binary"))
+        now.filters = [*self.filters, filters.filter("filter is not null"), anew]
+        return now
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """Add documents. Those whose id is known gain lines."""
-        new = docs.mapInArrow(_references(self.shortest), _LINE)
-        return self._of(settle(self.references.union(new).distinct()), self.shortest)
+        """Add documents (doc, text). Those whose id is known gain lines. Only the keys of their lines are counted anew."""
+        new = docs.mapInArrow(_references(self.shortest), _LINE).filter("doc is not null").distinct()
+        new = settle(new.join(self.all_references(), ["doc", "k1", "k2"], "left_anti"))
+        return self._changed([*self.references, (new, [])], new.select("k1", "k2"))
 
     def delete(self, ids: DataFrame) -> LineIndex:
-        """Take documents (doc long) out. Keys lose their references; a line's owner passes to the next document that holds it."""
-        return self._of(settle(self.references.join(ids.select("doc").distinct(), "doc", "left_anti")), self.shortest)
+        """Take documents (doc long) out. Keys lose their references; a line's owner passes to the next document that holds it. Only their keys are counted anew."""
+        ids = settle(ids.select("doc").distinct())
+        touched = self.all_references().join(ids, "doc", "left_semi").select("k1", "k2")
+        return self._changed([(piece, [*gone, ids]) for piece, gone in self.references], touched)
+
+    def compact(self) -> LineIndex:
+        """The same index with one piece a part, and as many shards as its keys now ask for."""
+        return self._of(settle(self.all_references()), self.shortest)
 
     def repeats(self) -> DataFrame:
         """References (doc, k1, k2) of lines that an earlier document holds: the filters are asked first, the exact counts then."""
-        sizes = self.references.groupBy(_shard(self.shards).alias("shard")).agg(F.count("*").alias("refs"))
+        references, filters = self.all_references(), self.all_filters()
+        sizes = references.groupBy(_shard(self.shards).alias("shard")).agg(F.count("*").alias("refs"))
         # Shards without a filter have no repeated key, so their references end here.
-        copies = sizes.join(self.filters.select("shard"), "shard").select("shard", F.expr(f"cast(refs div {TASK_PROBES} as int) + 1").alias("copies"))
+        copies = sizes.join(filters.select("shard"), "shard").select("shard", F.expr(f"cast(refs div {TASK_PROBES} as int) + 1").alias("copies"))
         # One small row for each shard.
         copies = F.broadcast(copies)
-        filters = self.filters.join(copies, "shard").select("shard", "filter", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-        lines = self.references.withColumn("shard", _shard(self.shards)).join(copies, "shard")
+        filters = filters.join(copies, "shard").select("shard", "filter", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+        lines = references.withColumn("shard", _shard(self.shards)).join(copies, "shard")
         # Dealt by place, not by document: rows of one document id (all null ids are one) may be many.
         lines = lines.select("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("copies")).cast("int").alias("copy"), "doc", "k1", "k2")
         known = lines.groupBy("shard", "copy").cogroup(filters.groupBy("shard", "copy")).applyInArrow(_probe, _LINE)
-        return known.join(self.counts, ["k1", "k2"]).filter("doc > owner").select("doc", "k1", "k2")
+        return known.join(self.all_counts().filter("refs > 1"), ["k1", "k2"]).filter("doc > owner").select("doc", "k1", "k2")
 
 
 def _kept(shortest: int):
