@@ -402,3 +402,49 @@ def test_shards_match_a_plain_interleaving(docs, monkeypatch):
         shard = (40 * (place + 1) - 1) // n
         want[d] = (shard, place - shard * n // 40)
     assert {r.doc_id: (r.shard, r.slot) for r in interleave.assignments(docs).collect()} == want
+
+
+def _edited(words, luck, rate):
+    """A looser copy: words left out, put in and changed."""
+    out = []
+    for w in words:
+        x = luck.random()
+        if x > rate:
+            out.append(w)
+        elif x > rate / 2:
+            out += [luck.choice(words)] if x > 0.75 * rate else [w, "zzz"]
+    return out
+
+
+def test_decontamination_recall_against_brute_force(spark, docs):
+    luck = random.Random(4)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").orderBy("item_id").collect()]
+    plain = lambda x: re.findall(r"[^\W_]+", (x or "").lower())
+    prose = [plain(r.text) for r in docs.filter("text is not null").orderBy("doc_id").limit(60).collect()]
+    rows, whole = [], latent_decontam.WINDOWS[-1]
+    for i, (_, text) in enumerate(items):
+        for rate in (0.1, 0.25, 0.4):
+            about = prose[luck.randrange(60)][:120]
+            rows.append((len(rows), [*about[:60], *_edited(plain(text)[:whole], luck, rate), *about[60:]]))
+    got = {(r.doc_id, r.item_id) for r in latent_decontam.contaminated(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set()
+    for i, words in rows:
+        for item, text in items:
+            for passage in latent_decontam._passages([(item, text)]):
+                ids = {w: n for n, w in enumerate({*words, *plain(text)})}
+                mine = [ids[w] for w in plain(text)][:whole]
+                size = len(mine) + len(mine) // 4
+                best = max(latent_decontam.common_length(mine, [ids[w] for w in words[a : a + size]]) / len(mine) for a in range(0, max(1, len(words) - size + 1), 4))
+                if best >= latent_decontam.COPY:
+                    want.add((i, item))
+                break
+    assert len(want) > 40 and len(got & want) >= 0.95 * len(want)
+
+
+def test_latent_space_has_fewer_dimensions_than_passages(spark, docs):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    items += [(1000 + i, t.replace(" the ", " that ").replace(".", " .")) for i, t in items]
+    passages = latent_decontam._passages(items)
+    block = latent_decontam._fit(spark, passages, latent_decontam.term_weights(docs.select("doc_id", "text")))
+    assert block.space.shape[1] < 0.7 * len(passages)
+    assert (block.vectors.astype(float) ** 2).sum(axis=1).min() >= latent_decontam.KEEP - 1e-3

@@ -26,12 +26,14 @@ from tidemill.llm.stage import drop, settle
 
 #: Hashed terms; words in a corpus passage for document frequencies; share of passages from which a term has the least weight, and that weight.
 TERMS, PASSAGE, COMMON, FLOOR = 1 << 18, 32, 0.02, 0.1
-#: Dimensions of the latent space and passages in a block; oversampling and power iterations of the SVD; blocks in a pass.
+#: Dimensions of the latent space, at most, and passages in a block; oversampling and power iterations of the SVD; blocks in a pass.
 LATENT, OVERSAMPLE, POWER, PASS_BLOCKS = 256, 16, 2, 16
+#: The space keeps the fewest leading dimensions that leave every passage this share of its squared length, so that a copy of it still scores so much.
+KEEP = 0.75
 #: Window lengths in words. A passage is compared with windows of the least length that holds it, a quarter apart.
 WINDOWS = (8, 12, 16, 24, 32, 48, 64)
 #: Least cosine of a candidate; least share of the passage in common order; the same where the answer is present, and the share of the answer.
-COSINE, COPY, PARAPHRASE, ANSWER = 0.45, 0.75, 0.55, 0.8
+COSINE, COPY, PARAPHRASE, ANSWER = 0.4, 0.75, 0.55, 0.8
 _BREAK = np.arange(256, dtype=np.uint8)
 _BREAK[[i for i in range(128) if not chr(i).isalnum()]] = 32
 
@@ -161,6 +163,9 @@ def _fit(spark, passages: list[_Passage], weights: np.ndarray) -> LatentBlock:
     k = min(LATENT, len(passages), len(vocabulary))
     space = _svd(spark, sparse, len(vocabulary), k)
     vectors = np.stack([w @ space[r] for r, w in sparse]).astype(np.float32)
+    held = np.cumsum(vectors.astype(np.float64) ** 2, axis=1)
+    k = min(k, int((held.min(axis=0) < KEEP * min(1.0, held[:, -1].min())).sum()) + 1)
+    space, vectors = space[:, :k], vectors[:, :k]
     space = np.concatenate([space, np.zeros((1, k))]) * np.append(weights[vocabulary], 0)[:, None]
     return LatentBlock(passages, row, space.astype(np.float32), vectors)
 
@@ -276,18 +281,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null")
     items = settle(items)
-    rounds = items.count() // (LATENT * PASS_BLOCKS // 2) + 1
+    pieces = F.greatest(F.lit(1), F.ceil(F.regexp_count("text", F.lit(r"[\p{L}\p{N}]++")) / WINDOWS[-1]))
+    rounds = int(items.agg(F.sum(pieces)).first()[0] or 0) // (LATENT * PASS_BLOCKS // 2) + 1
     weights = term_weights(docs)
     found = []
     for turn in range(rounds):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == turn).collect()  # a bounded share of the benchmark
         passages = _passages(sorted((r.item_id, r.text) for r in own))
-        if not passages:
-            continue
-        blocks = [_fit(spark, passages[i : i + LATENT], weights) for i in range(0, len(passages), LATENT)]
-        sent = spark.sparkContext.broadcast((blocks, weights))
-        found.append(settle(docs.mapInArrow(_search(sent), "doc_id long, item_id long, cosine double, common double, answer double")))
-        sent.destroy()
+        # What is sent at once is PASS_BLOCKS blocks at most, however long the items are.
+        for at in range(0, len(passages), LATENT * PASS_BLOCKS):
+            some = passages[at : at + LATENT * PASS_BLOCKS]
+            blocks = [_fit(spark, some[i : i + LATENT], weights) for i in range(0, len(some), LATENT)]
+            sent = spark.sparkContext.broadcast((blocks, weights))
+            found.append(settle(docs.mapInArrow(_search(sent), "doc_id long, item_id long, cosine double, common double, answer double")))
+            sent.destroy()
     out = spark.createDataFrame([], "doc_id long, item_id long, cosine double, common double, answer double")
     for rows in found:
         out = out.union(rows)
