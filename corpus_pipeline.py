@@ -14,8 +14,9 @@ from tidemill.llm.stage import settle
 
 def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """The documents whose id is in a column of ids (or not, by left_anti); a null id is an id like any other."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), how)
+    name = "_" * max(map(len, docs.columns)) + "id"  # not one of theirs
+    ids = ids.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(name)), how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
