@@ -80,7 +80,8 @@ def scan(docs: DataFrame, repository: Column | None = None, owner: Column | None
 
     ``repository`` and ``owner`` are columns of ``docs``; by default the source is the owner, and source and language are the
     repository. Returns one row per input row: ``doc_id``; ``n_assign``, ``n_access``, ``n_hex`` (plain spans); ``base_sha256`` of the plain
-    spans; ``spans``, all reported spans as kind:start:end in code points, by start, then kind; ``n_examples`` and ``n_live``,
+    spans; ``spans``, all reported spans as kind:start:end in code points, by start, then kind; ``judged``, all candidates in the same way with
+    :example or :live behind each; ``n_examples`` and ``n_live``,
     the candidates that are copied examples, and that only one owner has in few repositories.
 
     A null text is empty. A null repository or owner counts as one of its own name. Rows with one id are scanned each for
@@ -98,11 +99,13 @@ def scan(docs: DataFrame, repository: Column | None = None, owner: Column | None
     copied = F.coalesce((F.col("owners") > OWNERS) | (F.col("repositories") > REPOSITORIES), F.lit(False))
     judged = each.join(who, "digest").withColumn("copied", copied)
     shown = F.struct(F.col("from"), F.col("rank"), F.concat_ws(":", "kind", "from", "to").alias("said"))
+    verdict = F.struct(F.col("from"), F.col("rank"), F.concat_ws(":", "kind", "from", "to", F.when(F.col("copied"), "example").otherwise("live")).alias("said"))
     judged = judged.groupBy("row").agg(
-        F.collect_list(F.when((F.col("rank") < 3) | ~F.col("copied"), shown)).alias("shown"), F.count_if("copied").alias("n_examples"), F.count_if(~F.col("copied")).alias("n_live")
+        F.collect_list(F.when((F.col("rank") < 3) | ~F.col("copied"), shown)).alias("shown"), F.collect_list(verdict).alias("judged"), F.count_if("copied").alias("n_examples"), F.count_if(~F.col("copied")).alias("n_live")
     )
-    judged = judged.select("row", F.array_join(F.transform(F.array_sort("shown"), lambda x: x["said"]), ",").alias("spans"), "n_examples", "n_live")
+    listed = lambda c: F.array_join(F.transform(F.array_sort(c), lambda x: x["said"]), ",")
+    judged = judged.select("row", listed("shown").alias("spans"), listed("judged").alias("judged"), "n_examples", "n_live")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return found.drop("found", "repository", "owner").join(judged, "row", "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("spans", F.lit("")).alias("spans"), zero("n_examples"), zero("n_live")
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("judged", F.lit("")).alias("judged"), zero("n_examples"), zero("n_live")
     )
