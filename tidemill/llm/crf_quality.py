@@ -263,9 +263,12 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_DOCUMENTS, i
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     chosen = known.orderBy(F.xxhash64("id"), "id", "quality").limit(limit)
     # At most `limit` short rows; those read have 3 * SEQUENCE lines at most.
-    rows = texts.join(F.broadcast(chosen), "id").select("quality", "text").mapInArrow(_features, "quality int, features array<double>").collect()
-    rows.sort(key=lambda r: (r.quality, r.features))
-    return learn([np.array(r.features).reshape(-1, len(FEATURES)) for r in rows], [r.quality for r in rows])
+    rows = texts.join(F.broadcast(chosen), "id").select("quality", "text").mapInArrow(_features, "quality int, features array<double>").toArrow()
+    lists = rows.column("features").combine_chunks()
+    values, limits = lists.values.to_numpy(), lists.offsets.to_numpy()
+    found = [(q, values[a:b].reshape(-1, len(FEATURES))) for q, a, b in zip(rows.column("quality").to_pylist(), limits, limits[1:], strict=False)]
+    found.sort(key=lambda x: (x[0], x[1].tobytes()))
+    return learn([x for _, x in found], [q for q, _ in found])
 
 
 def _judge(model: LineCRF, share: float):

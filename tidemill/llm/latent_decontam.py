@@ -65,14 +65,11 @@ def _frequencies(batches):
 
 def term_weights(docs: DataFrame) -> np.ndarray:
     """Inverse document frequency of each hashed term over all passages of the corpus, less that of a common term, and FLOOR for those more common."""
-    counts = docs.mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # TERMS + 1 rows at most
+    counts = docs.mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # TERMS + 1 rows at most
+    term, n = counts.column("term").to_numpy(), counts.column("n").to_numpy()
     df = np.zeros(TERMS)
-    total = 1
-    for term, n in counts:
-        if term < 0:
-            total = max(n, 1)
-        else:
-            df[term] = n
+    df[term[term >= 0]] = n[term >= 0]
+    total = max(int(n[term < 0].sum()), 1)
     return np.maximum(np.log(total / (1 + df)) + np.log(COMMON), FLOOR).astype(np.float32)
 
 
