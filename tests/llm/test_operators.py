@@ -448,3 +448,28 @@ def test_latent_space_has_fewer_dimensions_than_passages(spark, docs):
     block = latent_decontam._fit(spark, passages, latent_decontam.term_weights(docs.select("doc_id", "text")))
     assert block.space.shape[1] < 0.7 * len(passages)
     assert (block.vectors.astype(float) ** 2).sum(axis=1).min() >= latent_decontam.KEEP - 1e-3
+
+
+def test_html_density_decides_where_no_element_tells():
+    """Pages of plain divisions: only word counts and link densities of a block and its neighbours differ."""
+    text = " ".join(["These plain words stand in one of the paragraphs of the page."] * 4)
+    links = " ".join(f"<a href='/{i}'>A place to go {i}</a>" for i in range(6))
+    for page, want in (
+        (f"<div>{links}</div><div>{text}</div><div>A short line.</div><div>{text}</div><div>{links}</div>", [text, "A short line.", text]),
+        (f"<div><a href='/'>Home</a></div><div><a href='/x'>More</a></div><div>{text}</div><div>Fine print</div><div><a href='/y'>Next</a></div>", [text]),
+    ):
+        found = html_blocks.blocks(page)
+        assert not any(b.main or b.furniture for b in found)
+        keep = html_blocks.train().predict(html_blocks.features(found))
+        assert [b.text for b, k in zip(found, keep, strict=True) if k] == want
+
+
+def test_mixing_by_a_column_of_topics(spark):
+    rows = [(i, f"word {i} " * (5 + i % 7), "s", "x", "ab"[i % 2] if i % 5 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, theme string")
+    got = raking.mix(docs, {"source": 1.0, "lang": 1.0, "topic": {"a": 0.7, "b": 0.1}}, share=0.4, by_topic=F.col("theme")).collect()
+    mass = collections.Counter()
+    for r in got:
+        mass[r.topic] += r.tokens * r.p
+    total = sum(mass.values())
+    assert abs(mass["a"] / total - 0.7) < 0.02 and abs(mass["b"] / total - 0.1) < 0.02 and len(got) == 400

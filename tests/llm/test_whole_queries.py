@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests_llm_plain import joined, profiles
 
-from tidemill.llm import crf_quality, jaccard_join, langid, latent_decontam, queries, raking
+from tidemill.llm import crf_quality, langid, latent_decontam, queries, raking
 
 DATA = "/root/testdata/sf0.001"
 SPACE = "\x20\t\n\x0b\x0c\r"
@@ -95,4 +95,3 @@ def test_pipeline_stages_take_odd_rows(spark):
             assert {*made.columns} == {*odd.columns}, name
     kept = {(r.doc_id, r.text) for r in corpus_pipeline.STAGES[1][1](spark, odd, DATA).collect()}
     assert {(1, None), (2, ""), (5, "same row twice")} <= kept
-    assert jaccard_join.jaccard_components(odd).filter("doc_id is null").select("component_id").distinct().first()[0] is None

@@ -86,8 +86,9 @@ def calibrate(cells: DataFrame, share: float) -> DataFrame:
     return out.withColumn("p", F.when((F.col("tokens") == 0) | (F.col("_found") == 0), 1.0).otherwise(F.least(F.lit(1.0), F.col("weight") * F.col("_by")))).drop("_by", "_found")
 
 
-def mix(docs: DataFrame, targets: Mapping[str, Target] = FLATTENED, share: float = 0.8, rounds: int = ROUNDS, seed: str = "7") -> DataFrame:
-    """Sample documents so that source, language and topic meet their target shares of tokens.
+def mix(docs: DataFrame, targets: Mapping[str, Target] = FLATTENED, share: float = 0.8, rounds: int = ROUNDS, seed: str = "7", by_topic: Column | None = None) -> DataFrame:
+    """Sample documents so that source, language and topic meet their target shares of tokens. ``by_topic`` is a column of topics (text); by default
+    the form of the text, as a table without topics has nothing else.
 
     Returns every document: ``doc_id``, ``source``, ``lang``, ``topic``, ``tokens``, ``weight`` and ``p`` (of its cell, to six decimals)
     and ``kept``: whether a hash of seed and id, as a number from 0 to 1, is below ``p``. Rows with one id share that number.
@@ -96,7 +97,7 @@ def mix(docs: DataFrame, targets: Mapping[str, Target] = FLATTENED, share: float
     table gives no rows. A margin's target is met as far as the cells that exist and the cap of 1 on a probability allow.
     """
     blank = "\x00"
-    rows = docs.select("doc_id", *(F.coalesce(c, F.lit(blank)).alias(c) for c in ("source", "lang")), topic().alias("topic"), tokens().alias("tokens"))
+    rows = docs.select("doc_id", *(F.coalesce(c, F.lit(blank)).alias(c) for c in ("source", "lang")), (topic() if by_topic is None else F.coalesce(by_topic, F.lit(blank))).alias("topic"), tokens().alias("tokens"))
     rows = settle(rows)
     cells = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     cells = settle(calibrate(rake(cells, targets, rounds), share).select(*MARGINS, F.round("weight", 6).alias("weight"), F.round("p", 6).alias("p")))
