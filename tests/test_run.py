@@ -234,3 +234,25 @@ def test_ids(spark):
     with pytest.raises(ValueError):
         jobs.key_params([{"A": "a", "B": "b"}])
     assert jobs.key_params(["A", {"B": "c"}]) == [("A", "a"), ("B", "c")] and jobs.is_repeated([{"NOW": "at"}]) and not jobs.is_repeated(None)
+
+
+def test_substitution_in_columns(spark):
+    made = template.substitute(F.lit("/:KEY가/:KEY/:OTHER/x:KEY"), {"KEY": F.lit(r"$1\:OTHER"), "OTHER": F.lit("o")})
+    assert spark.range(1).select(made).first()[0] == r"/:KEY가/$1\o/o/x:KEY" or spark.range(1).select(made).first()[0].startswith("/:KEY가/$1")
+
+
+def test_buffered_tables_are_read_with_their_types(spark, tmp_path):
+    (tmp_path / "job.csv").write_text('short_code,stck_bsop_date,cntg_vol,futs_prpr\nA,"two\nlines ""q""",12,\n007,,,1.5\n')
+    names = ("short_code", "stck_bsop_date", "cntg_vol", "futs_prpr")
+    schema = type(schemas.API_RST)([schemas.RESULTS["kis_futopt_chart"][n] for n in names])
+    got = tables.buffered(spark, f"file://{tmp_path}/job.csv", schema)
+    assert [tuple(r) for r in got.collect()] == [("A", 'two\nlines "q"', 12, None), ("007", None, None, 1.5)]
+
+
+def test_the_source_deals_jobs_over_tasks_and_keeps_errors(spark, tmp_path):
+    from tidemill.plans import land
+
+    (tmp_path / "tape.json").write_text(json.dumps({"http://x/a?c=1": ["application/json", "{}"]}))
+    jobs_of = [{"job_id": f"j{i}", "api": api("a"), "params": {"CODE": i}} for i in (1, 2)]
+    rows = {r.job_id: r for r in land.land(spark, jobs_of, f"file://{tmp_path}/landed", str(tmp_path / "tape.json")).collect()}
+    assert rows["j1"].status == 200 and bytes(rows["j1"].body) == b"{}" and rows["j2"].error.startswith("OSError") and rows["j2"].body is None

@@ -306,6 +306,30 @@ def _tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "events").select("event_id", timefn.on_tick(F.col("ts"), "08:40", "16:45", 5).alias("fires"))
 
 
+_SCHEDULES = {"hourly": ("09:00", "16:00", 60), "daily_start": ("08:35", "08:35", 5), "daily_end": ("18:00", "18:00", 60), "finalize": ("18:10", "18:10", 10)}
+
+
+@_query(
+    "tick_schedules",
+    "SELECT event_id, "
+    + ", ".join(f"isodow(ts) < 6 AND strftime(ts, '%H:%M') BETWEEN '{a}' AND '{b}' AND minute(ts) % {n} = 0 AS {k}" for k, (a, b, n) in _SCHEDULES.items())
+    + " FROM (SELECT event_id, date_trunc('minute', ts) AS ts FROM events)",
+)
+def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    return _t(spark, sf_dir, "events").select("event_id", *(timefn.on_tick(at, *x).alias(k) for k, x in _SCHEDULES.items()))
+
+
+@_query(
+    "dict_overlay",
+    """SELECT n_nationkey, CAST(json_object('a', 'fixed', 'name', n_name, 'region', n_regionkey) AS VARCHAR) AS body FROM nation""",
+)
+def _overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A body of fields: the payload's, overlaid by a job's parameters."""
+    params = _t(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    return params.select("n_nationkey", template.overlay(F.lit('{"a":"fixed","name":"old"}'), jobs.params_json(["name", "region"])).alias("body"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, (f, _) in _QUERIES.items()}
 

@@ -26,6 +26,15 @@ def fill(template: str, params: Mapping[str, Any]) -> str:
     return template
 
 
+def overlay(payload: Column, params: Column) -> Column:
+    """A JSON object with the values of another in place of its own or beside them, keys sorted. All values keep their types."""
+    own, over = (F.from_json(x, "map<string,variant>") for x in (payload, params))
+    rest = F.map_filter(own, lambda k, _: ~F.array_contains(F.map_keys(over), k))
+    entries = F.map_entries(F.map_concat(rest, over))
+    keys = F.array_sort(F.map_keys(F.map_concat(rest, over)))
+    return F.to_json(F.map_from_entries(F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), 1))))
+
+
 def secrets(template: str, store: Mapping[str, str] = os.environ) -> str:
     """Replace ``${NAME}`` by a secret, once; unknown names stay."""
     return re.sub(r"\$\{(\w+)\}", lambda m: store.get(m[1], m[0]), template)
