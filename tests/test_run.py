@@ -238,7 +238,7 @@ def test_ids(spark):
 
 def test_substitution_in_columns(spark):
     made = template.substitute(F.lit("/:KEY가/:KEY/:OTHER/x:KEY"), {"KEY": F.lit(r"$1\:OTHER"), "OTHER": F.lit("o")})
-    assert spark.range(1).select(made).first()[0] == r"/:KEY가/$1\o/o/x:KEY" or spark.range(1).select(made).first()[0].startswith("/:KEY가/$1")
+    assert spark.range(1).select(made).first()[0] == r"/:KEY가/$1\o/o/x:KEY"
 
 
 def test_buffered_tables_are_read_with_their_types(spark, tmp_path):
