@@ -473,3 +473,14 @@ def test_mixing_by_a_column_of_topics(spark):
         mass[r.topic] += r.tokens * r.p
     total = sum(mass.values())
     assert abs(mass["a"] / total - 0.7) < 0.02 and abs(mass["b"] / total - 0.1) < 0.02 and len(got) == 400
+
+
+def test_join_takes_rows_with_one_id_as_one_document(spark):
+    luck = random.Random(6)
+    base = [[f"w{luck.randrange(10**6)}" for _ in range(60)] for _ in range(3)]
+    edited = lambda words: " ".join(["x", *words[1:]])
+    rows = [(50, " ".join(base[0])), (50, " ".join(base[1])), (60, edited(base[0])), (70, edited(base[1])), (80, " ".join(base[2])), (None, edited(base[2])), (None, " ".join(base[2][:30] + base[0][30:]))]
+    rows += [(100 + i, " ".join([*base[i % 3][:50], *(f"y{i}{j}" for j in range(10))])) for i in range(6)]
+    got = {(r.doc_id, r.component_id) for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()}
+    # The null id is one document behind all others: its first text is near 80's.
+    assert {(50, 50), (60, 50), (70, 50), (80, 80), (None, 80)} <= got and all(c in (i, None) for i, c in got if i is not None and i >= 100)

@@ -202,11 +202,14 @@ def _work(placed: DataFrame) -> tuple[int, int]:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """The tokens (token, node, n, pos, often) that stand in prefixes and that several heads have."""
-    tokens = sets.select("node", "n", "low", F.posexplode("head").alias("at", "token"))
+    """The tokens (token, node, n, pos, often) that stand in prefixes and that several heads have. ``FREQUENT`` is 2 at least."""
+    # Sets of one document (rows with one id) are told apart by bits of their hash, beside the number of low tokens.
+    mark = F.expr("low + shiftleft(k1 & 1073741823L, 32)").alias("mark")
+    tokens = sets.select("node", "n", mark, F.posexplode("head").alias("at", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
-    entries = tokens.join(shared.hint("merge"), "token").withColumn("late", F.expr(f"int(at < low and often >= {FREQUENT})"))
-    own = Window.partitionBy("node", "n", "low")
+    entries = tokens.join(shared.hint("merge"), "token").withColumn("low", F.expr("int(mark & 4294967295L)"))
+    entries = entries.withColumn("late", F.expr(f"int(at < low and often >= {FREQUENT})"))
+    own = Window.partitionBy("node", "n", "mark")
     entries = entries.withColumns({"behind": F.sum("late").over(own.orderBy("at")), "lates": F.sum("late").over(own)})
     pos = "case when at >= low then at when late = 1 then low - lates + behind - 1 else at - behind end"
     return entries.withColumn("pos", F.expr(pos)).filter(f"pos < n - ({percent} * n + 99) div 100 + 1").select("token", "node", "n", "pos", "often")
