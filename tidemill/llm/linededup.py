@@ -314,5 +314,12 @@ def dedup_lines(docs: DataFrame, shortest: int = 10, id_col: str = "doc_id", tex
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NONE)).alias("doc"), F.col(text_col).alias("text"))
     index = LineIndex.build(rows.select("doc", "text"), shortest)
-    drops = index.repeats().groupBy("doc").agg(F.collect_set(F.struct("k1", "k2")).alias("drops"))
-    return rows.join(drops, "doc", "left").select("id", "text", "drops").mapInArrow(_kept(shortest), "doc_id long, n_lines long, n_dropped long, kept string")
+    drops = index.repeats().filter(F.col("doc") != _NONE)
+    # Rows without an id may be many: each is told apart by its place, so that none meets another's lines.
+    nameless = settle(rows.filter("id is null").select(F.monotonically_increasing_id().alias("doc"), "text"))
+    known = index.all_counts().filter(f"refs > 1 and owner < {_NONE}").select("k1", "k2")
+    own = nameless.mapInArrow(_references(shortest), _LINE).join(known, ["k1", "k2"], "left_semi")
+    gathered = lambda lines: lines.groupBy("doc").agg(F.collect_set(F.struct("k1", "k2")).alias("drops"))
+    named = rows.filter("id is not null").join(gathered(drops), "doc", "left").select("id", "text", "drops")
+    nameless = nameless.join(gathered(own), "doc", "left").select(F.lit(None).cast("long").alias("id"), "text", "drops")
+    return named.union(nameless).mapInArrow(_kept(shortest), "doc_id long, n_lines long, n_dropped long, kept string")
