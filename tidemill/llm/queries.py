@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import crf_quality, html_blocks, interleave, jaccard_join, langid, latent_decontam, linededup, pii_bootstrap, raking, secret_ownership
+from tidemill.llm import ball_negatives, crf_quality, fill_middle, html_blocks, interleave, jaccard_join, langid, latent_decontam, linededup, pii_bootstrap, raking, secret_ownership, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_bootstrap.find(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(_table(spark, sf_dir, "documents"))
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    return ball_negatives.mine(_table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label), scale=256)
+
+
 _SPACE = r"[\x20\x09-\x0D]"
 
 OP3_SQL = rf"""
@@ -68,9 +84,9 @@ FROM k LEFT JOIN r USING (key) GROUP BY doc_id"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_ngram_jaccard_join, op2_language_id, op3_line_dedup, op4_quality_rules, op5_sharding, op6_benchmark_decontamination, op7_mixing, op8_secret_scan, op9_html_extraction, op10_pii]
+    made = [op1_ngram_jaccard_join, op2_language_id, op3_line_dedup, op4_quality_rules, op5_sharding, op6_benchmark_decontamination, op7_mixing, op8_secret_scan, op9_html_extraction, op10_pii, op11_fill_in_middle, op12_toxicity, op13_hard_negatives]
     return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op7_mixing": raking.mix_sql()}
+    return {"op3_line_dedup": OP3_SQL, "op7_mixing": raking.mix_sql(), "op11_fill_in_middle": fill_middle.SQL, "op13_hard_negatives": ball_negatives.SQL}
