@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -10,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill import schemas
 from tidemill.functions import template, timefn
 from tidemill.operators import browse, jobs, parse, save
-from tidemill.plans import generate, run
+from tidemill.plans import export, generate, land, run
 from tidemill.sources import http, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,11 +130,72 @@ def _merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.from_json("record", "k string, kind string").alias("r")).select("event_id", F.col("r.k").cast("long").alias("k"), "r.kind")
 
 
+@_query("merged_answers", "SELECT conv_id, turn, role, conv_id AS text, count(*) OVER (PARTITION BY conv_id) AS n, NULL AS none FROM conversations")
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the whole answer set in each record, in the form that configurations have: selector, path, field. One takes the place of the record's own."""
+    turns = F.collect_list(F.struct("turn", "role", "text"))
+    bodies = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.to_json(F.struct(F.struct(turns.alias("items")).alias("data"), F.struct(F.count("*").alias("n"), F.col("conv_id").alias("id")).alias("top"))).alias("body"))
+    merges = F.from_json(F.lit('{"top.n": "n", "top.id": "text", "top.missing": "none"}'), "map<string,string>")
+    rows = bodies.withColumn("document", F.try_parse_json("body"))
+    rows = rows.select("conv_id", F.explode(parse.merge_fields(parse.json_items(F.col("document"), "data.items"), F.col("document"), merges)).alias("record"))
+    return rows.select("conv_id", F.from_json("record", "turn bigint, role string, text bigint, n bigint, none int").alias("r")).select("conv_id", "r.*")
+
+
 @_query("xml_records", "SELECT n_nationkey AS k, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation")
 def _xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit("<r><item><NAME value='"), "n_name", F.lit("'/><REGION>"), F.col("n_regionkey").cast("string"), F.lit("</REGION></item></r>"))
-    rows = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.explode(parse.xml_record_texts(body, "item")).alias("record"))
-    return rows.select("k", F.get_json_object("record", "$.NAME").alias("name"), F.get_json_object("record", "$.REGION").alias("region"))
+    rows = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), body.alias("body"), F.lit("item").alias("selector"))
+    return parse.xml_records(rows, "body", "selector", ["k"]).select("k", F.get_json_object("record", "$.NAME").alias("name"), F.get_json_object("record", "$.REGION").alias("region"))
+
+
+@_query(
+    "xml_shapes",
+    """SELECT s_nationkey AS k, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS pos, CASE s_suppkey % 4
+    WHEN 0 THEN '{"A":"' || s_suppkey || '","T":["1","' || s_suppkey || '"]}' WHEN 1 THEN '{"N":{"K":"' || s_suppkey || '","M":null}}'
+    WHEN 2 THEN '{"A":{"p":"' || s_suppkey || '","q":"x"}}' ELSE '{"a":"' || s_suppkey || '","b":"' || s_name || '"}' END AS record, CAST(NULL AS VARCHAR) AS error FROM supplier
+    UNION ALL SELECT s_nationkey, count(*), NULL, 'broken' FROM supplier WHERE s_nationkey % 3 = 0 GROUP BY 1""",
+)
+def _xml_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated, nested and attribute children, leaves, and bodies that break off: a body for each nation."""
+    k = F.col("s_suppkey").cast("string")
+    item = F.concat(
+        F.when(F.col("s_suppkey") % 4 == 0, F.concat(F.lit("<i><T>1</T><A value='"), k, F.lit("' other='o'/><T>"), k, F.lit("</T></i>"))).when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("<i><N><K z='"), k, F.lit("'/><M> </M></N></i>")))
+        .when(F.col("s_suppkey") % 4 == 2, F.concat(F.lit("<i><A p='"), k, F.lit("' q='x'/></i>"))).otherwise(F.concat(F.lit("<i a='"), k, F.lit("' b='"), "s_name", F.lit("'/>")))
+    )
+    bodies = _t(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", item.alias("x")))), lambda x: x["x"]), "").alias("items"))
+    end = F.when(F.col("s_nationkey") % 3 == 0, "</d><unclosed").otherwise("</d></r>")
+    bodies = bodies.select(F.col("s_nationkey").alias("k"), F.concat(F.lit("<r><d>"), "items", end).alias("body"), F.lit("d.i").alias("selector"))
+    rows = parse.xml_records(bodies, "body", "selector", ["k"])
+    return rows.select("k", F.col("pos").cast("long"), "record", F.when(F.col("error").isNotNull(), "broken").alias("error"))
+
+
+@_query(
+    "decoded_bodies",
+    """SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN text END AS text, doc_id % 5 = 0 AS failed, CASE WHEN doc_id % 5 <> 0 THEN coalesce(length(text), 0) END AS n FROM documents WHERE text IS NOT NULL""",
+)
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of whole texts in two encodings, some with a byte that belongs to neither: an error beside the row, none for the query."""
+    body = F.col("text").cast("binary")
+    wrong = F.when(F.col("doc_id") % 5 == 0, F.lit(b"\xff\xff")).otherwise(F.lit(b""))
+    rows = _t(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.concat(body, wrong).alias("body"), F.when(F.col("doc_id") % 2 == 0, "UTF_8").otherwise("utf-8-sig").alias("encoding"))
+    rows = rows.select("doc_id", parse.decode(F.col("body"), F.col("encoding")).alias("read"))
+    return rows.select("doc_id", F.col("read.value").alias("text"), F.col("read.error").isNotNull().alias("failed"), F.char_length("read.value").cast("long").alias("n"))
+
+
+@_query(
+    "delimited_headers",
+    r"""SELECT doc_id, pos, CASE doc_id % 3 WHEN 0 THEN '{"a":"3","b":"' || pos || '"}' WHEN 1 THEN '{"a":"1","":"' || pos || '"}' END AS record, CASE WHEN doc_id % 3 = 2 THEN 'a delimited body needs field names' END AS error
+    FROM (SELECT doc_id, unnest(CASE WHEN doc_id % 3 = 2 THEN [NULL] ELSE range(1 + doc_id % 4) END) AS pos FROM documents)""",
+)
+def _headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers that repeat a name, have an empty one, or are missing."""
+    n = F.col("doc_id") % 4
+    lines = F.transform(F.sequence(F.lit(0), n.cast("int")), lambda i: F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("1,"), i, F.lit(",3"))).otherwise(F.concat(F.lit("1,"), i)))
+    body = F.when(F.col("doc_id") % 3 == 2, F.lit("\n\n")).otherwise(F.concat(F.when(F.col("doc_id") % 3 == 0, "a,b,a\n").otherwise("a, \n"), F.array_join(lines, "\r\n")))
+    rows = _t(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+    rows = rows.select("doc_id", parse.delimited_error(F.col("body"), header=True).alias("error"), F.transform(parse.delimited_records(F.col("body"), header=True), lambda r: F.to_json(F.struct(r["a"].alias("a"), F.when(F.map_contains_key(r, "b"), r["b"]).alias("b"), r[""].alias("_")))).alias("records"))
+    rows = rows.select("doc_id", "error", F.posexplode_outer("records").alias("pos", "record"))
+    return rows.select("doc_id", F.col("pos").cast("long"), F.replace("record", F.lit('"_"'), F.lit('""')).alias("record"), "error")
 
 
 @_query("delimited_records", r"SELECT doc_id, nullif(regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', ''), '') AS text, source FROM documents WHERE text IS NOT NULL")
@@ -279,26 +340,143 @@ def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.build(spark, builder, {"key_params_list": ["NATION", {"REGION": "region"}]}, old, date(2024, 3, 31))
 
 
-_CYCLE_SQL = """SELECT 'n_' || n_name AS job_id, CASE WHEN n_nationkey % 5 = 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status, n_nationkey % 5 = 3 AS is_active, CASE WHEN n_nationkey % 5 <> 3 THEN 'nation_rows: ' || n_nationkey % 4 END AS description,
-  CASE WHEN n_nationkey % 5 = 3 THEN 0 ELSE n_nationkey % 4 END AS n_rows, CASE WHEN n_nationkey % 5 <> 3 AND n_nationkey % 4 > 0 THEN CAST((n_nationkey % 4) * n_nationkey AS DOUBLE) END AS total FROM nation"""
+_ROWS = T.StructType([T.StructField("id", T.LongType()), T.StructField("api_id", T.StringType()), T.StructField("job_id", T.StringType()), T.StructField("name", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("updated_at", T.TimestampNTZType())])
+_CYCLE_SQL = """SELECT 'n_' || s_name AS job_id, CASE WHEN s_suppkey % 7 > 2 THEN 'SUCCESS' ELSE 'FAILED' END AS status, s_suppkey % 7 <= 2 AS is_active, CASE WHEN s_suppkey % 7 > 2 THEN 'supplier_rows: ' || s_suppkey % 4 END AS description,
+  CASE WHEN s_suppkey % 7 > 2 THEN s_suppkey % 4 ELSE 0 END AS n_rows, CASE WHEN s_suppkey % 7 > 2 AND s_suppkey % 4 > 0 THEN CAST((s_suppkey % 4) * s_suppkey AS DOUBLE) END AS total,
+  CASE s_suppkey % 7 WHEN 0 THEN 'items: the answer is no JSON' WHEN 1 THEN '1 values of supplier_rows can''t be read' WHEN 2 THEN 'items: UnicodeDecodeError: the body is not UTF-8' END AS error FROM supplier"""
+
+
+def _suppliers(spark: SparkSession, sf_dir: str) -> tables.Tables:
+    """Tables with a job for each supplier, generated from a builder, of an API that names them."""
+    store = tables.Tables(spark, tables.scratch(spark))
+    store.register("supplier_rows", _ROWS)
+    api = {"api_id": "n", "api_name": "n", "api_group": "g", "request_type": "get", "api_url": "http://x/:NAME", "header_json": {"Authorization": "Bearer ${TOKEN}"}, "output_tables_json": {"items": "supplier_rows"}, "key_params_list": ["NAME"]}
+    login = {**api, "api_id": "login", "api_url": "http://x/login", "header_json": {}, "output_tables_json": None, "persist_env_json": {"auth.token": "TOKEN"}, "key_params_list": ["NOW"]}
+    browse.Config(store, "api_mst").create(api, login)
+    _t(spark, sf_dir, "supplier").createOrReplaceTempView("axis_supplier")
+    builders = ({"build_id": "b", "api_id": "n", "macro_params_json": {"NAME, K": {"db": "SELECT s_name, s_suppkey FROM axis_supplier"}}, "is_active": True}, {"build_id": "l", "api_id": "login", "macro_params_json": {}, "is_active": True})
+    browse.Config(store, "api_job_builder").create(*builders)
+    generate.some(store, date(2024, 3, 31), "daily")
+    return store
+
+
+def _supplier_answers(request: dict) -> tuple[int, str, bytes]:
+    """A server's answers, by the number in the supplier's name: some are no JSON, no UTF-8, or hold a value that can't be read. The name is that of the secret that was sent."""
+    if request["url"].endswith("login"):
+        return 200, "application/json", b'{"auth": {"token": "fresh"}}'
+    k = int(re.sub("[^0-9]", "", request["url"]))
+    value = "bad" if k % 7 == 1 else str(k)
+    body = json.dumps({"items": [{"value": str(k), "name": request["headers"]["Authorization"]}] * (k % 4)}).encode() if k % 7 != 1 else json.dumps({"items": [{"value": value}]}).encode()
+    return 200, "application/json", b"{broken" if k % 7 == 0 else body[:-1] + b"\xff" if k % 7 == 2 else body
 
 
 @_query("run_cycle", _CYCLE_SQL)
 def _cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cycle over recorded answers: a job for each nation, some with a value that can't be read, some without a record."""
-    names = [(r.n_name, r.n_nationkey) for r in _t(spark, sf_dir, "nation").select("n_name", "n_nationkey").collect()]
-    held = {f"http://x/{n}": ["application/json", json.dumps({"items": [{"value": "bad" if k % 5 == 3 else str(k)}] * (max(k % 4, 1) if k % 5 == 3 else k % 4)})] for n, k in names}
-    schemas.register("nation_rows", T.StructType([T.StructField("id", T.LongType()), T.StructField("api_id", T.StringType()), T.StructField("job_id", T.StringType()), T.StructField("name", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("updated_at", T.TimestampNTZType())]))
+    """A cycle over recorded answers: a job for each supplier. Answers that can't be read fail their own jobs."""
+    store = _suppliers(spark, sf_dir)
+    run.cycle(store, "daily", datetime(2024, 3, 31), send=_supplier_answers, wait=lambda _: None, store={}, every=0.0)
+    rows = store.results("supplier_rows").groupBy("job_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
+    jobs_now = store.read("api_job").filter("api_id = 'n'").select("job_id", "is_active", "description")
+    logs = store.read("api_job_log").select("job_id", "status", F.col("error_message").alias("error"))
+    return logs.join(jobs_now, "job_id").join(rows, "job_id", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+@_query("secret_waves", "SELECT 'n_' || s_name AS job_id, 'Bearer fresh' AS name, CAST(s_suppkey AS DOUBLE) AS value FROM supplier, range(3) r(i) WHERE s_suppkey % 7 > 2 AND i < s_suppkey % 4")
+def _waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A secret that one job of a cycle keeps is in the headers of the others."""
+    store = _suppliers(spark, sf_dir)
+    run.cycle(store, "daily", datetime(2024, 3, 31), send=_supplier_answers, wait=lambda _: None, store={"TOKEN": "stale"}, every=0.0)
+    return store.results("supplier_rows").select("job_id", "name", "value")
+
+
+@_query(
+    "landed_pages",
+    """SELECT 's_' || s_suppkey AS job_id, i + 1 AS page, CAST(s_suppkey * 10 + i AS BIGINT) AS value FROM supplier, range(4) r(i) WHERE i < CASE WHEN s_suppkey % 6 = 5 THEN 2 ELSE s_suppkey % 6 END""",
+)
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of each job, asked for one after the other until one is empty or repeats the one before (for one job in six, the third)."""
     store = tables.Tables(spark, tables.scratch(spark))
-    api = {"api_id": "n", "api_name": "n", "api_group": "g", "request_type": "get", "api_url": "http://x/:NAME", "header_json": {}, "output_tables_json": {"items": "nation_rows"}, "key_params_list": ["NAME"]}
-    browse.Config(store, "api_mst").create(api)
-    _t(spark, sf_dir, "nation").createOrReplaceTempView("axis_nation")
-    browse.Config(store, "api_job_builder").create({"build_id": "b", "api_id": "n", "macro_params_json": {"NAME": {"db": "SELECT n_name FROM axis_nation"}}, "is_active": True})
-    generate.some(store, date(2024, 3, 31), "daily")
-    run.cycle(store, "daily", datetime(2024, 3, 31), send=http.replies(held), wait=lambda _: None)
-    rows = store.results("nation_rows").groupBy("job_id").agg(F.count("*").alias("n_rows"), F.sum("value").alias("total"))
-    jobs_now = store.read("api_job").select("job_id", "is_active", "description")
-    return store.read("api_job_log").select("job_id", "status").join(jobs_now, "job_id").join(rows, "job_id", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+    empty = {c: F.lit(None).cast("string") for c in land.CONFIGURED}
+    config = empty | {"request_type": F.lit("get"), "api_url": F.lit("http://h:K/?k=:K&page=:PAGE"), "header_json": F.lit("{}"), "output_tables_json": F.lit('{"items": "x"}')}
+    calls = _t(spark, sf_dir, "supplier").select(F.concat(F.lit("s_"), "s_suppkey").alias("job_id"), F.to_json(F.struct(F.col("s_suppkey").alias("K"))).alias("params"), *(c.alias(n) for n, c in config.items()))
+
+    def send(request: dict) -> tuple[int, str, bytes]:
+        k, page = map(int, re.search(r"k=(\d+)&page=(\d+)", request["url"]).groups())
+        n, at = k % 6, page - 1
+        return 200, "application/json", json.dumps({"items": [{"value": k * 10 + min(at, 1 if n == 5 else at)}] if at < n else []}).encode()
+
+    calls = land.once(store, f"{store.root}/calls", lambda: calls)
+    _, rows, _ = land.pages(store, calls, f"{store.root}/pages", lambda landed: run.records(landed, calls), send=send, wait=lambda _: None, every=0.0)
+    return rows.select("job_id", F.col("page").cast("long"), F.get_json_object("record", "$.value").cast("long").alias("value"))
+
+
+_REQUEST_SQL = """SELECT c_custkey, 'POST' AS method, 'http://x/' || c_mktsegment || '/:USER2?n=' || CASE WHEN c_custkey % 3 = 0 THEN 'None' ELSE c_custkey || '' END AS url, 'Bearer ${TOKEN} ' || c_mktsegment AS auth, '3' AS number, 'json' AS body_kind,
+  '{"fixed":1,"N":' || CASE WHEN c_custkey % 3 = 0 THEN 'null' ELSE c_custkey || '' END || ',"USER":"' || c_mktsegment || '"}' AS body FROM customer"""
+
+
+@_query("request_columns", _REQUEST_SQL)
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests of a table of jobs: method, URL, headers and body are filled in by Spark, secrets are left for the sender."""
+    user, n = F.col("c_mktsegment").alias("USER"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("N")
+    rows = _t(spark, sf_dir, "customer").select("c_custkey", F.to_json(F.struct(n, user), {"ignoreNullFields": "false"}).alias("params"))
+    config = {"request_type": "post", "api_url": "http://x/:USER/:USER2?n=:N", "header_json": '{"auth": "Bearer ${TOKEN} :USER", "number": 3}', "payload_type": "json", "payload_json": '{"USER": "old", "fixed": 1}', "payload_xml": None}
+    made = rows.withColumns({k: F.lit(v).cast("string") for k, v in config.items()})
+    made = made.select("c_custkey", *(c.alias(k) for k, c in template.request(F.col("params")).items()))
+    return made.select("c_custkey", "method", "url", F.col("headers")["auth"].alias("auth"), F.col("headers")["number"].alias("number"), "body_kind", "body")
+
+
+@_query(
+    "table_commits",
+    """SELECT 'c_' || o_custkey AS job_id, CASE WHEN o_custkey % 10 = 3 THEN 'new' ELSE 'old' END AS state, o_orderkey AS k FROM orders WHERE o_custkey % 10 <> 3 OR o_orderstatus = 'F'
+    UNION ALL SELECT 'c_' || o_custkey, 'more', o_orderkey FROM orders WHERE o_orderstatus = 'P'""",
+)
+def _commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of a tenth of the jobs overwritten (some with nothing) in one commit, rows of others appended in the next, all small segments joined at last."""
+    store = tables.Tables(spark, tables.scratch(spark))
+    store.register("order_rows", T.StructType([T.StructField("api_id", T.StringType()), T.StructField("job_id", T.StringType()), T.StructField("state", T.StringType()), T.StructField("k", T.LongType())]))
+    rows = lambda where, state: _t(spark, sf_dir, "orders").filter(where).select(F.lit("o").alias("api_id"), jobs.job_id(F.lit("c"), [F.col("o_custkey")]).alias("job_id"), F.lit(state).alias("state"), F.col("o_orderkey").alias("k"))
+    store.append("order_rows", rows("true", "old"))
+    with store.change() as c:
+        c.replace_keys("order_rows", rows("o_custkey % 10 = 3 AND o_orderstatus = 'F'", "new"), rows("o_custkey % 10 = 3", "").select("job_id"))
+    store.append("order_rows", rows("o_orderstatus = 'P'", "more"))
+    store.compact("order_rows", 2)
+    return store.results("order_rows").select("job_id", "state", "k")
+
+
+@_query(
+    "bucketed_jobs",
+    "SELECT 'a_' || c_custkey AS job_id, c_custkey % 2 = 0 AS is_active FROM customer",
+)
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs of two builders of which the second names all of the first's again; of the stored jobs only the buckets of the new ids are read."""
+    store = tables.Tables(spark, tables.scratch(spark))
+    _t(spark, sf_dir, "customer").createOrReplaceTempView("axis_customer")
+    browse.Config(store, "api_mst").create({"api_id": "a", "api_name": "a", "api_group": "g", "request_type": "get", "api_url": "http://x", "header_json": {}, "output_tables_json": {"i": "api_rst"}, "key_params_list": ["K"]})
+    spec = lambda where: {"K": {"db": f"SELECT c_custkey FROM axis_customer WHERE {where}"}}
+    browse.Config(store, "api_job_builder").create({"build_id": "even", "api_id": "a", "macro_params_json": spec("c_custkey % 2 = 0")}, {"build_id": "all", "api_id": "a", "macro_params_json": spec("true")})
+    generate.one(store, "even", date(2024, 3, 31))
+    generate.one(store, "all", date(2024, 3, 31))
+    return store.read("api_job").select("job_id", (F.col("build_id") == "even").alias("is_active"))
+
+
+@_query("export_roundtrip", "SELECT 'u_' || user_id AS job_id, event_id, ts, value, CAST(NULL AS DOUBLE) AS nothing FROM events WHERE user_id % 5 <> 1 OR event_type = 'click'")
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export by job, then a second one of some jobs in place of what they had."""
+    at = tables.scratch(spark)
+    rows = _t(spark, sf_dir, "events").select(jobs.job_id(F.lit("u"), [F.col("user_id")]).alias("job_id"), "event_id", "ts", "value", F.lit(None).cast("double").alias("nothing"), "event_type", "user_id")
+    names = ("job_id", "event_id", "ts", "value", "nothing")
+    export.export(rows.select(*names), at)
+    export.export(rows.filter("user_id % 5 = 1 AND event_type = 'click'").select(*names), at)
+    idle = rows.filter("user_id % 5 = 1").groupBy("job_id").agg(F.max(F.col("event_type") == "click").alias("any")).filter("not any").select("job_id")
+    return spark.read.parquet(at).select(*names).join(idle, "job_id", "left_anti")
+
+
+@_query("result_page_after", "SELECT * FROM orders WHERE o_orderkey < (SELECT o_orderkey FROM orders ORDER BY 1 DESC LIMIT 1 OFFSET 5000) ORDER BY o_orderkey DESC LIMIT 100")
+def _page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deep page by the key of the row ahead of it: files of newer keys are skipped."""
+    rows = _t(spark, sf_dir, "orders")
+    last = [r[0] for r in rows.select("o_orderkey").orderBy(F.desc("o_orderkey")).offset(5000).limit(1).collect()]
+    return save.page_after(rows, "o_orderkey", last[0], 100) if last else rows.limit(0)
 
 
 @_query("tick_5m_window", "SELECT event_id, isodow(ts) < 6 AND strftime(ts, '%H:%M') BETWEEN '08:40' AND '16:45' AND minute(ts) % 5 = 0 AND second(ts) = 0 AS fires FROM events")

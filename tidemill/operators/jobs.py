@@ -88,7 +88,8 @@ def conflicts(jobs: DataFrame) -> DataFrame:
 def new_jobs(jobs: DataFrame, existing: DataFrame) -> DataFrame:
     """Jobs whose id does not exist yet, one for each id. An id with other parameters is an error, raised where the result is read."""
     once = jobs.groupBy("job_id").agg(F.min("params_json").alias("params_json"), F.max("params_json").alias("_most"), *(F.first(c).alias(c) for c in jobs.columns if c not in ("job_id", "params_json")))
-    old = existing.groupBy("job_id").agg(F.min("params_json").alias("_least"), F.max("params_json").alias("_greatest"))
+    # Existing jobs are not grouped: those that the new ones don't name are dropped by the join, which Spark makes a broadcast of the smaller side where that is small.
+    old = existing.select("job_id", "params_json").join(once.select("job_id"), "job_id", "left_semi").groupBy("job_id").agg(F.min("params_json").alias("_least"), F.max("params_json").alias("_greatest"))
     both = once.join(old, "job_id", "left")
     clash = (F.col("params_json") != F.col("_most")) | F.coalesce((F.col("_least") != F.col("params_json")) | (F.col("_greatest") != F.col("params_json")), F.lit(False))
     error = F.raise_error(F.concat(F.lit("one job id stands for different parameters: "), F.col("job_id"))).cast("boolean")
@@ -113,17 +114,21 @@ def identified(params: DataFrame, builder: Mapping[str, Any], entries: list[Any]
     return params.select(made.alias("job_id"), params_json(params.columns).alias("params_json")), bool(entries)
 
 
-def build(spark: SparkSession, builder: Mapping[str, Any], api: Mapping[str, Any], existing: DataFrame, today: date) -> DataFrame:
-    """The new jobs of a builder: columns of the job table but its description and time."""
+def made(spark: SparkSession, builder: Mapping[str, Any], api: Mapping[str, Any], today: date) -> DataFrame:
+    """All jobs that a builder stands for: columns of the job table but its description and time. Ids without key parameters are random, so the result is to be written once."""
     sets = product(spark, axes(spark, builder.get("macro_params_json") or {}, today))
-    made, stable = identified(sets, builder, api.get("key_params_list"))
-    made = new_jobs(made, existing) if stable else made
-    return made.select(
+    rows, _ = identified(sets, builder, api.get("key_params_list"))
+    return rows.select(
         "job_id", F.lit(builder["build_id"]).alias("build_id"), F.lit(builder["api_id"]).alias("api_id"), "params_json", F.lit(True).alias("is_active"),
         F.lit(builder.get("save_mode") or "overwrite").alias("save_mode"), F.lit(builder.get("execution_cycle")).cast("string").alias("execution_cycle"),
     )
 
 
+def build(spark: SparkSession, builder: Mapping[str, Any], api: Mapping[str, Any], existing: DataFrame, today: date) -> DataFrame:
+    """The new jobs of a builder with key parameters. Of the existing ones, those with the builder's ids are enough."""
+    return new_jobs(made(spark, builder, api, today), existing)
+
+
 def pending(jobs: DataFrame, cycle: str) -> DataFrame:
     """The active jobs of a cycle: those of a builder table are to be built, those of a job table to be run."""
     return jobs.filter(F.col("is_active") & (F.col("execution_cycle") == cycle))

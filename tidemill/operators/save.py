@@ -37,20 +37,22 @@ def coerce(value: Column, kind: T.DataType | str, length: int | None = None) ->
     return F.struct(made.alias("value"), (value.isNotNull() & made.isNull()).alias("bad"))
 
 
-def coerce_variant(value: Column, kind: T.DataType, length: int | None = None, nullable: bool = True) -> Column:
-    """The same for a JSON value, by its own type: (value, bad). Numbers are no text, a fraction is no integer, true and false are 1 and 0."""
-    own = F.schema_of_variant(value)
-    text = _from_text(F.try_variant_get(value, "$", "string"), kind, length)
+def coerce_variant(value: Column, kind: T.DataType, length: int | None = None, nullable: bool = True, own: Column | None = None) -> Column:
+    """The same for a JSON value, by its own type: (value, bad). Numbers are no text, a fraction is no integer, true and false are 1 and 0.
+
+    ``own`` is the value's type where it is known already (a column that Spark has worked out).
+    """
+    own = F.schema_of_variant(value) if own is None else own
     number = own.isin("BIGINT", "DOUBLE", "FLOAT") | own.startswith("DECIMAL")
     real = F.try_variant_get(value, "$", "double")
-    made = F.when(own == "STRING", text)
+    made = F.when(own == "STRING", _from_text(F.try_variant_get(value, "$", "string"), kind, length))
     if isinstance(kind, T.LongType):
         made = made.when(own == "BIGINT", F.try_variant_get(value, "$", "bigint")).when(number & (real == F.floor(real)), real.try_cast("bigint")).when(own == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint"))
     elif isinstance(kind, T.DoubleType):
         made = made.when(number, real).when(own == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int").cast("double"))
     elif isinstance(kind, T.BooleanType):
         made = made.when(own == "BOOLEAN", F.try_variant_get(value, "$", "boolean")).when(number & real.isin(0.0, 1.0), real == 1.0)
-    empty = value.isNull() | F.coalesce(F.is_variant_null(value), F.lit(False))
+    empty = value.isNull() | F.coalesce(own == "VOID", F.lit(False))
     return F.struct(made.alias("value"), (F.when(empty, not nullable).otherwise(made.isNull())).alias("bad"))
 
 
@@ -73,15 +75,20 @@ def typed_records(records: DataFrame, schema: T.StructType, keep: list[str]) ->
     A record's own value goes before a key parameter, and that before the ids; unknown keys are left out. ``id`` and ``updated_at`` are the table's own.
     """
     fields = [f for f in schema if f.name not in ("id", "updated_at")]
-    parsed = records.withColumns({"_record": F.try_parse_json("record"), "_keys": F.try_parse_json(F.coalesce("key_params", F.lit("{}")))})
+    held = [F.col(c).alias(f"_keep_{c}") for c in keep]
+    # One reading of each JSON text by the declared fields, then the type of each value, then the values.
+    shape = T.StructType([T.StructField(f.name, T.VariantType()) for f in fields])
+    read = records.select(*held, "api_id", "job_id", F.from_json("record", shape).alias("_record"), F.from_json(F.coalesce("key_params", F.lit("{}")), shape).alias("_keys"))
 
     def given(name: str) -> Column:
-        own = [F.try_variant_get(F.col(c), f"$['{name}']", "variant") for c in ("_record", "_keys")]
+        own = [F.col(c)[name] for c in ("_record", "_keys")]
         return F.coalesce(*own, F.col(name).cast("variant")) if name in ("api_id", "job_id") else F.coalesce(*own)
 
-    made = [coerce_variant(given(f.name), f.dataType, (f.metadata or {}).get("length"), f.nullable).alias(f"{f.name}") for f in fields]
-    held = [F.col(c).alias(f"_keep_{c}") for c in keep]
-    rows = _picked(parsed.select(*held, *made), [f"_keep_{c}" for c in keep], [f.name for f in fields])
+    kept = [f"_keep_{c}" for c in keep]
+    values = read.select(*kept, *(given(f.name).alias(f"_v{i}") for i, f in enumerate(fields)))
+    types = values.select("*", *(F.schema_of_variant(f"_v{i}").alias(f"_t{i}") for i in range(len(fields))))
+    made = [coerce_variant(F.col(f"_v{i}"), f.dataType, (f.metadata or {}).get("length"), f.nullable, F.col(f"_t{i}")).alias(f.name) for i, f in enumerate(fields)]
+    rows = _picked(types.select(*kept, *made), kept, [f.name for f in fields])
     return rows.select(*(F.col(f"_keep_{c}").alias(f"run_{c}") for c in keep), *(f.name for f in fields), "bad")
 
 
@@ -124,6 +131,17 @@ def page(df: DataFrame, key: str, limit: int = 100, offset: int = 0, most: int =
     return df.orderBy(F.col(key).desc_nulls_first()).offset(offset).limit(limit)
 
 
+def page_after(df: DataFrame, key: str, after: object = None, limit: int = 100, most: int = 1000) -> DataFrame:
+    """The page behind a row: the newest rows whose key is less than ``after``, the key of the last row of the page before (None for the first page).
+
+    However deep the page, no row ahead of it is sorted or read: the filter reaches the files, whose key ranges leave out those that hold newer rows.
+    """
+    if limit > most:
+        raise ValueError("a page is not over its greatest size")
+    rows = df if after is None else df.filter(F.col(key) < F.lit(after))
+    return rows.orderBy(F.col(key).desc()).limit(limit)
+
+
 def recent_logs(logs: DataFrame, status: str | None = None, limit: int = 100, offset: int = 0, job: str | None = None) -> DataFrame:
     """The newest log rows, of one status or one job if given."""
     rows = logs.filter(F.col("status") == status) if status else logs

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from tidemill.operators import jobs
+from tidemill.plans.land import once
 from tidemill.sources.tables import Tables
 
 _JSON = ("macro_params_json", "key_params_list", "header_json", "payload_json", "response_parse_json", "persist_env_json", "output_tables_json", "merge_fields_json")
@@ -19,18 +21,27 @@ def config(row) -> dict:
 
 
 def one(tables: Tables, build_id: str, today: date) -> list[str]:
-    """Generate the jobs of a builder, whatever its state, and return the new ids. All of a builder's jobs are stored at once."""
-    builder = tables.read("api_job_builder").filter(F.col("build_id") == build_id).limit(1).collect()
+    """Generate the jobs of a builder, whatever its state, and return the new ids. All of a builder's jobs are stored at once.
+
+    Of the job table, the buckets of the builder's ids are read and nothing is rewritten; the new jobs lie on the driver as ids alone.
+    """
+    builder = tables.read("api_job_builder", [build_id]).limit(1).collect()
     if not builder:
         raise ValueError(f"no such builder: {build_id}")
     builder = config(builder[0])
-    api = tables.read("api_mst").filter(F.col("api_id") == builder["api_id"]).limit(1).collect()
+    api = tables.read("api_mst", [builder["api_id"]]).limit(1).collect()
     if not api:
         raise ValueError(f"no such API: {builder['api_id']}")
-    before = tables.read("api_job")
-    tables.append("api_job", jobs.build(tables.spark, builder, config(api[0]), before, today))
-    # Read again, as random ids would differ if they were made twice.
-    return sorted(r.job_id for r in tables.read("api_job").join(before.select("job_id"), "job_id", "left_anti").select("job_id").collect())
+    work = f"{tables.root}/runs/{uuid.uuid4().hex}"
+    # Written once, as random ids would differ if they were made twice.
+    made = once(tables, f"{work}/made", lambda: jobs.made(tables.spark, builder, config(api[0]), today))
+    with tables.change() as c:
+        new = jobs.new_jobs(made, c.rows_of("api_job", made.select("job_id")))
+        new = once(tables, f"{work}/new", lambda: new)
+        c.append("api_job", new)
+    ids = sorted(r.job_id for r in new.select("job_id").collect())
+    tables.delete_files(work)
+    return ids
 
 
 def some(tables: Tables, today: date, cycle: str | None = None) -> list[str]:

@@ -53,22 +53,10 @@ _CHART = _table(
 
 CONFIG = {"api_mst": API_MST, "api_job_builder": API_JOB_BUILDER, "api_job": API_JOB, "api_job_log": API_JOB_LOG}
 KEYS = {"api_mst": "api_id", "api_job_builder": "build_id", "api_job": "job_id"}
-#: Result tables by name; ``register`` adds to them.
+#: The result tables that there are from the start; a ``Tables`` may have more.
 RESULTS: dict[str, T.StructType] = {"api_rst": API_RST, "kis_futopt_price": _PRICE, "fo_idx_code_mst": _CODES, "kis_futopt_chart": _CHART}
 
 
-def register(name: str, schema: T.StructType) -> None:
-    """Add a result table. It has the columns api_id and job_id."""
-    if name in CONFIG or not {"api_id", "job_id"} <= set(schema.names):
-        raise ValueError(f"not a result table: {name}")
-    RESULTS[name] = schema
-
-
-def result_tables() -> list[str]:
-    """Names of the result tables, sorted."""
-    return sorted(RESULTS)
-
-
 def is_generic(schema: T.StructType) -> bool:
     """Whether a result table keeps whole records as JSON."""
     return "result_json" in schema.names
