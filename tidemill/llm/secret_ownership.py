@@ -47,10 +47,14 @@ def _random_looking(value: str) -> bool:
 
 
 def token_spans(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
-    """Random-looking tokens outside the spans that are taken."""
-    out = []
+    """Random-looking tokens outside the spans that are taken, which are in order of their starts; both are gone through once."""
+    out, at, covered = [], 0, 0
     for m in _TOKEN.finditer(text):
-        if _random_looking(m[0]) and all(m.end() <= a or m.start() >= b for a, b in taken):
+        # ``covered`` is the furthest end of the spans that start ahead of the token's end; spans of several kinds may overlap.
+        while at < len(taken) and taken[at][0] < m.end():
+            covered = max(covered, taken[at][1])
+            at += 1
+        if covered <= m.start() and _random_looking(m[0]):
             out.append((m.start(), m.end(), m[0]))
     return out
 
