@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -112,9 +113,11 @@ def blocks(page: str) -> list[_Text]:
     article of the page stands in less. A form around the page is not furniture.
     """
     out: list[_Text] = []
-    around: list[tuple[int, list[int]]] = []  # for each block, the furniture around its article, and the forms it is in
-    forms: list[int] = []
-    wide: set[int] = set()
+    around: list[tuple[int, int]] = []  # for each block, the furniture around its article, and the innermost form it is in
+    parents: list[int] = []  # of each form, the form around it, or -1
+    wide: set[int] = set()  # forms around a page
+    reached: set[int] = set()  # forms that are wide with all that are around them
+    form = held_form = -1
     parts: list[str] = []
     linked: list[str] = []
     stack: list[tuple[str, bool, str]] = []
@@ -122,14 +125,14 @@ def blocks(page: str) -> list[_Text]:
     count = {"around": 0, "light": 0, "inside": 0}  # furniture around articles, headers around articles, furniture inside
     link = False
     ends: dict[str, dict[int, tuple[int, int]]] = {}
-    held_forms: list[int] = []
+    opened: Counter[str] = Counter()
 
     def close() -> None:
         if parts:
             words = html.unescape("".join(parts)).split()
             if words:
                 out.append(_Text(" ".join(words), len(words), len(html.unescape(" ".join(linked)).split()), main > 0, count["inside"] > 0 or (not main and count["around"] + count["light"] > 0)))
-                around.append((outside if main else 0, list(forms)))
+                around.append((outside if main else 0, form))
             parts.clear()
             linked.clear()
 
@@ -176,8 +179,8 @@ def blocks(page: str) -> list[_Text]:
                     ends[name] = _ends(page, name)
                 at = _after(page, name, m.start(), at, ends[name])
             continue
-        if forms and not ending and (name in _PAGE or (name == "input" and _PAGE_FORM.search(m[3]))):
-            wide.update(forms)
+        if form >= 0 and not ending and (name in _PAGE or (name == "input" and _PAGE_FORM.search(m[3]))):
+            reached.add(form)
         if name not in _BLOCK:
             continue
         close()
@@ -188,33 +191,43 @@ def blocks(page: str) -> list[_Text]:
             where = ""
             if name == "form" and not hint:
                 where = "form"
-                forms.append(m.start())
+                parents.append(form)
+                form = len(parents) - 1
                 if _PAGE_FORM.search(m[3]):
-                    wide.add(m.start())
+                    wide.add(form)
             elif hint or name in _FURNITURE:
                 where = "inside" if main else "light" if name == "header" and not hint else "around"
                 count[where] += 1
             if name in _MAIN and not main:
                 outside = 0 if name == "main" else count["around"]
-                held_forms, forms = forms, []
+                held_form, form = form, -1
             main += name in _MAIN
             stack.append((name, name in _MAIN, where))
-        elif any(x[0] == name for x in stack):
+            opened[name] += 1
+        elif opened[name]:
             while True:
                 last, is_main, where = stack.pop()
+                opened[last] -= 1
                 main -= is_main
                 if is_main and not main:
-                    forms = held_forms
+                    form = held_form
                 if where == "form":
-                    forms.pop()
+                    form = parents[form]
                 elif where:
                     count[where] -= 1
                 if last == name:
                     break
     close()
     least = min((x for b, (x, _) in zip(out, around, strict=True) if b.main), default=0)
+    # A form starts behind the one around it: what reaches a form reaches those around it, and one that is not wide marks all within it.
+    for f in range(len(parents) - 1, -1, -1):
+        if f in reached:
+            reached.add(parents[f])
+    narrow = [False] * (len(parents) + 1)
+    for f, parent in enumerate(parents):
+        narrow[f] = narrow[parent] or not (f in wide or f in reached)
     for b, (x, inside) in zip(out, around, strict=True):
-        b.furniture |= x > least or any(f not in wide for f in inside)
+        b.furniture |= x > least or narrow[inside]
     return out
 
 
