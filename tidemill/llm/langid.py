@@ -105,8 +105,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top:
     """Profiles (lang, gram, rank from 0) counted over every row with a text and a language; ties go to the smaller n-gram."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
     counts = rows.mapInArrow(_count_batches, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    ranks = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
-    return counts.withColumn("rank", ranks).filter(F.col("rank") < top).select("lang", "gram", "rank")
+    # Filtered on the row number itself, so that each task hands on its first ones alone.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    return counts.withColumn("place", place).filter(F.col("place") <= top).select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 def _scorer(langs: list[str], grams: np.ndarray, ranks: np.ndarray, top: int):
