@@ -97,12 +97,18 @@ class CuckooFilter:
 
     def delete(self, keys: np.ndarray) -> None:
         """Take out one entry for each key, which must have been added."""
-        for mark, one, two in zip(*self._places(keys.astype(np.uint64)), strict=True):
-            for bucket in (one, two):
-                hit = np.flatnonzero(self.table[bucket] == mark)
-                if len(hit):
-                    self.table[bucket, hit[0]] = 0
-                    break
+        mark, one, two = self._places(keys.astype(np.uint64))
+        while len(mark):
+            hit = self.table[one] == mark[:, None]
+            bucket = np.where(hit.any(axis=1), one, two)
+            hit = self.table[bucket] == mark[:, None]
+            place = bucket * _SLOTS + hit.argmax(axis=1)
+            # Keys that share an entry take the next one in the next turn.
+            found = np.flatnonzero(hit.any(axis=1))
+            first = found[np.unique(place[found], return_index=True)[1]]
+            self.table.reshape(-1)[place[first]] = 0
+            left = np.setdiff1d(found, first)
+            mark, one, two = mark[left], one[left], two[left]
 
     def to_bytes(self) -> bytes:
         return self.table.astype("<u2").tobytes()
@@ -245,6 +251,10 @@ class LineIndex:
         """Add documents (doc, text). Those whose id is known gain lines. Only the keys of their lines are counted anew."""
         new = docs.mapInArrow(_references(self.shortest), _LINE).filter("doc is not null").distinct()
         new = settle(new.join(self.all_references(), ["doc", "k1", "k2"], "left_anti"))
+        references = sum(piece.count() for piece, _ in self.references) + new.count()
+        if references > 2 * self.shards * TASK_PROBES:
+            # Twice what the shards were made for: the index gets as many as it needs now.
+            return self._of(settle(self.all_references().union(new)), self.shortest)
         return self._changed([*self.references, (new, [])], new.select("k1", "k2"))
 
     def delete(self, ids: DataFrame) -> LineIndex:
