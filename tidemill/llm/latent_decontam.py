@@ -28,8 +28,8 @@ from tidemill.llm.stage import drop, settle
 TERMS, PASSAGE, COMMON, FLOOR = 1 << 18, 32, 0.02, 0.1
 #: Dimensions of the latent space, at most, and passages in a block; oversampling and power iterations of the SVD; blocks in a pass.
 LATENT, OVERSAMPLE, POWER, PASS_BLOCKS = 256, 16, 2, 16
-#: The space keeps the fewest leading dimensions that leave every passage this share of its squared length, so that a copy of it still scores so much.
-KEEP = 0.75
+#: The space keeps the fewest leading dimensions that leave every passage this share of its squared length; a copy of it scores the root of that.
+KEEP = 0.5
 #: Window lengths in words. A passage is compared with windows of the least length that holds it, a quarter apart.
 WINDOWS = (8, 12, 16, 24, 32, 48, 64)
 #: Least cosine of a candidate; least share of the passage in common order; the same where the answer is present, and the share of the answer.
@@ -115,7 +115,7 @@ def _products(passages: list[tuple[np.ndarray, np.ndarray]], basis: np.ndarray)
 def _svd(spark, passages: list[tuple[np.ndarray, np.ndarray]], terms: int, k: int, seed: int = 1) -> np.ndarray:
     """The k leading right singular vectors of a sparse matrix of passages by randomised subspace iteration.
 
-    The passages lie in a table; each task adds up its part of A' A Q, Spark sums the parts by term, and the driver
+    The passages lie in a table of four partitions; each task adds up its part of A' A Q, the driver adds the four parts and
     orthonormalises the basis, which has the block's terms times k numbers.
     """
     table = settle(spark.createDataFrame([(rows.tolist(), w.tolist()) for rows, w in passages], "rows array<int>, weights array<double>").repartition(4))
@@ -130,11 +130,11 @@ def _svd(spark, passages: list[tuple[np.ndarray, np.ndarray]], terms: int, k: in
                 hit = np.flatnonzero(made.any(axis=1))
                 yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(list(made[hit]), pa.list_(pa.float64()))], ["term", "sums"])
 
-        sums = table.mapInArrow(part, "term int, sums array<double>").select("term", F.posexplode("sums").alias("i", "x")).groupBy("term", "i").agg(F.sum("x").alias("x"))
-        rows = sums.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("row")).select("term", F.col("row.x").alias("row"))
+        # The tasks' parts, each of a block's terms at most, reach the driver as Arrow and are added there.
+        rows = table.mapInArrow(part, "term int, sums array<double>").toArrow()
         out = np.zeros_like(basis)
-        for term, row in rows.collect():
-            out[term] = row
+        if rows.num_rows:
+            np.add.at(out, rows.column("term").to_numpy(), rows.column("sums").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1))
         sent.destroy()
         return out
 
@@ -205,7 +205,9 @@ def _plans(block: LatentBlock, weights: np.ndarray) -> Iterator[_Plan]:
         mine = [i for i, p in enumerate(block.passages) if low < len(p.hashes) <= size]
         if not mine:
             continue
-        against = np.ascontiguousarray(block.space @ block.vectors[mine].T)
+        # Compared with a passage's direction in the space, so that one of which the space keeps less isn't harder to find.
+        direction = block.vectors[mine] / np.maximum(np.sqrt((block.vectors[mine] ** 2).sum(axis=1, keepdims=True)), 1e-9)
+        against = np.ascontiguousarray(block.space @ direction.T)
         weight = np.zeros_like(against)
         for j, i in enumerate(mine):
             terms = np.unique((block.passages[i].hashes >> np.uint64(46)).astype(np.int64))
