@@ -12,41 +12,64 @@ from tidemill.llm import crf_quality, interleave, jaccard_join, latent_decontam,
 from tidemill.llm.stage import settle
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The documents whose id is in a column of ids (or not, by left_anti); a null id is an id like any other."""
+#: Rows without an id are numbered from here, or from behind the greatest id.
+NAMELESS = 1 << 62
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The documents with a number in place of a missing id, so that each row without one is a document of its own; and where these numbers start."""
+    seen = docs.agg(F.max("doc_id").alias("most"), F.count_if(F.col("doc_id").isNull()).alias("nameless")).first()
+    first = max(NAMELESS, (seen.most or 0) + 1)
+    if not seen.nameless:
+        return docs, first
+    # Written once, as numbers differ if they are made twice.
+    own = settle(docs.filter("doc_id is null").withColumn("doc_id", F.lit(first) + F.monotonically_increasing_id()))
+    return docs.filter("doc_id is not null").unionByName(own), first
+
+
+def _only(docs: DataFrame, ids: DataFrame, first: int, how: str = "left_semi") -> DataFrame:
+    """The documents whose id is in a column of ids (or not, by left_anti), numbers taken off again."""
     name = "_" * max(map(len, docs.columns)) + "id"  # not one of theirs
     ids = ids.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(name)), how)
+    return _unnumbered(docs.join(ids, F.col("doc_id") == F.col(name), how), first)
+
+
+def _unnumbered(docs: DataFrame, first: int) -> DataFrame:
+    return docs.withColumn("doc_id", F.when(F.col("doc_id") < first, F.col("doc_id")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rules or the line labels reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    kept = crf_quality.judge(docs, crf_quality.train(docs, labels)).filter("kept").select("doc_id")
-    return _only(docs, kept)
+    docs, first = _numbered(docs)
+    kept = crf_quality.judge(docs, crf_quality.train(docs.filter(F.col("doc_id") < first), labels)).filter("kept").select("doc_id")
+    return _only(docs, kept, first)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the least document of each component of similar ones (five-word shingles, similarity 0.8); documents without a shingle stay."""
-    kept = jaccard_join.jaccard_components(docs, k=5, percent=80).filter("component_id <=> doc_id").select("doc_id")
-    return _only(docs, kept)
+    docs, first = _numbered(docs)
+    kept = jaccard_join.jaccard_components(docs, k=5, percent=80).filter("component_id = doc_id").select("doc_id")
+    return _only(docs, kept, first)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
+    docs, first = _numbered(docs)
     found = latent_decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
-    return _only(docs, found, "left_anti")
+    return _only(docs, found, first, "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents towards the target weights of source, language and topic."""
-    kept = raking.mix(docs).filter("kept").select("doc_id")
-    return _only(docs, kept)
+    docs, first = _numbered(docs)
+    return _only(docs, raking.mix(docs).filter("kept").select("doc_id"), first)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and their place in it."""
-    return interleave.shard_documents(docs, shards=40)
+    docs, first = _numbered(docs)
+    return _unnumbered(interleave.shard_documents(docs, shards=40), first)
 
 
 STAGES = [("quality_rules", quality), ("ngram_jaccard_join", near_duplicates), ("benchmark_decontamination", decontaminate), ("mixing", mixing), ("sharding", sharding)]

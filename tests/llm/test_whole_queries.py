@@ -94,4 +94,20 @@ def test_pipeline_stages_take_odd_rows(spark):
             assert made.count() <= table.count()
             assert {*made.columns} == {*odd.columns}, name
     kept = {(r.doc_id, r.text) for r in corpus_pipeline.STAGES[1][1](spark, odd, DATA).collect()}
-    assert {(1, None), (2, ""), (5, "same row twice")} <= kept
+    assert {(1, None), (2, ""), (5, "same row twice"), (None, "some words of a text without id"), (None, "more words without id")} <= kept
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    words = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    rows = [(1, words(1)), (None, words(1)), (None, words(2)), (None, words(3)), (None, words(3)), (2, words(4)), (2, words(4))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = sorted(((r.doc_id, r.text) for r in stages["ngram_jaccard_join"](spark, docs, DATA).collect()), key=repr)
+    assert kept == sorted([(1, words(1)), (None, words(2)), (None, words(3)), (2, words(4)), (2, words(4))], key=repr)
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").first().text
+    tainted = docs.union(spark.createDataFrame([(None, item, "en", "a", 1)], docs.schema))
+    assert stages["benchmark_decontamination"](spark, tainted, DATA).count() == len(rows)
+    sharded = stages["sharding"](spark, docs, DATA).collect()
+    assert len(sharded) == len(rows) and sum(r.doc_id is None for r in sharded) == 4 and len({(r.shard, r.slot) for r in sharded}) == len(rows)
+    again = stages["mixing"](spark, docs, DATA).collect()
+    assert {(r.doc_id, r.text) for r in again} <= set(rows)
