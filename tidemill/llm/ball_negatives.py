@@ -160,7 +160,7 @@ def _search_some(tree: BallTree, rows: np.ndarray, center: np.ndarray, anchors:
     middle = anchors[mine] @ center.T
     reach = np.sqrt((anchors[mine] ** 2).sum(axis=1))[:, None] * tree.radius
     slack = 1e-9 * (np.abs(middle) + reach) + 1e-6  # products and radii are rounded
-    upper, lower = middle + reach + slack, middle - reach - slack
+    upper, lower = (np.clip(x, float(_NONE), float(_LAST)) for x in (middle + reach + slack, middle - reach - slack))
     label = queries.labels[mine][:, None]
     fits = (tree.least <= label) & (label <= tree.most) if queries.same else (tree.least != label) | (tree.most != label)
     # A node is pruned if for each query of the anchor its scores are outside the limits or strictly beneath the last of the best.
