@@ -471,11 +471,11 @@ def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at).select(*names).join(idle, "job_id", "left_anti")
 
 
-@_query("result_page_after", "SELECT * FROM orders WHERE o_orderkey < (SELECT o_orderkey FROM orders ORDER BY 1 DESC LIMIT 1 OFFSET 5000) ORDER BY o_orderkey DESC LIMIT 100")
+@_query("result_page_after", "SELECT * FROM orders WHERE o_orderkey < (SELECT o_orderkey FROM orders ORDER BY 1 DESC LIMIT 1 OFFSET 1000) ORDER BY o_orderkey DESC LIMIT 100")
 def _page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deep page by the key of the row ahead of it: files of newer keys are skipped."""
     rows = _t(spark, sf_dir, "orders")
-    last = [r[0] for r in rows.select("o_orderkey").orderBy(F.desc("o_orderkey")).offset(5000).limit(1).collect()]
+    last = [r[0] for r in rows.select("o_orderkey").orderBy(F.desc("o_orderkey")).offset(1000).limit(1).collect()]
     return save.page_after(rows, "o_orderkey", last[0], 100) if last else rows.limit(0)
 
 

@@ -33,15 +33,12 @@ def one(tables: Tables, build_id: str, today: date) -> list[str]:
     if not api:
         raise ValueError(f"no such API: {builder['api_id']}")
     work = f"{tables.root}/runs/{uuid.uuid4().hex}"
-    # Written once, as random ids would differ if they were made twice.
-    made = once(tables, f"{work}/made", lambda: jobs.made(tables.spark, builder, config(api[0]), today))
+    # Written once, as random ids, or those of a query that changes, would differ if they were made twice.
+    made = once(tables, work, lambda: jobs.made(tables.spark, builder, config(api[0]), today))
     with tables.change() as c:
-        new = jobs.new_jobs(made, c.rows_of("api_job", made.select("job_id")))
-        new = once(tables, f"{work}/new", lambda: new)
-        c.append("api_job", new)
-    ids = sorted(r.job_id for r in new.select("job_id").collect())
+        added = c.append("api_job", jobs.new_jobs(made, c.rows_of("api_job", made.select("job_id"))))
     tables.delete_files(work)
-    return ids
+    return sorted(r.job_id for r in tables.segments("api_job", {int(b): s for b, s in added.items()}).select("job_id").collect())
 
 
 def some(tables: Tables, today: date, cycle: str | None = None) -> list[str]:

@@ -48,7 +48,7 @@ def pages(tables: Tables, calls: DataFrame, at: str, records: Callable[[DataFram
     """
     paged = calls.filter(template.paged(F.col("api_url"), F.col("payload_xml"), F.col("payload_json"))).select("job_id")
     todo, answers, made, ends = calls, [], [], []
-    for page in range(1, most + 1):
+    for page in range(1, most + 2):  # one more tells whether there are more
         one = once(tables, f"{at}/answers/{page}", lambda todo=todo, page=page: http.responses(requests(todo, page), later=page > 1, **how))
         found = once(tables, f"{at}/records/{page}", lambda one=one: records(one))
         answers.append(f"{at}/answers/{page}")
@@ -59,20 +59,20 @@ def pages(tables: Tables, calls: DataFrame, at: str, records: Callable[[DataFram
         sums = found.groupBy("job_id").agg(F.count("record").alias("n"), F.concat_ws(":", F.expr("bit_xor(xxhash64(selector, pos, record))"), F.sum(F.shiftright(said, 20))).alias("digest"), F.max(F.col("error").isNotNull()).alias("bad"))
         state = one.select("job_id", "page", F.col("error").isNotNull().alias("failed")).join(paged, "job_id", "left_semi").join(sums, "job_id", "left")
         ends.append(f"{at}/ends/{page}")
-        ended = once(tables, ends[-1], lambda state=state: state.select("job_id", "page", F.coalesce("n", F.lit(0)).alias("n"), "digest", (F.col("failed") | F.coalesce("bad", F.lit(False))).alias("failed")))
+        once(tables, ends[-1], lambda state=state: state.select("job_id", "page", F.coalesce("n", F.lit(0)).alias("n"), "digest", (F.col("failed") | F.coalesce("bad", F.lit(False))).alias("failed")))
         # A job goes on behind a page that counts.
-        kept = merge_pages(tables.spark.read.parquet(*ends[-2:]), ["job_id"]).filter((F.col("page") == page) & ~F.col("failed")).select("job_id")
-        todo = once(tables, f"{at}/todo/{page}", lambda ended=ended, kept=kept: calls.join(ended.filter("n > 0").select("job_id"), "job_id", "left_semi").join(kept, "job_id", "left_semi"))
-        if todo.isEmpty():
+        going = merge_pages(tables.spark.read.parquet(*ends[-2:]), ["job_id"]).filter((F.col("page") == page) & (F.col("n") > 0) & ~F.col("failed")).select("job_id")
+        if going.isEmpty():
             break
+        todo = calls.join(going, "job_id", "left_semi")
     landed, rows = tables.spark.read.schema(SCHEMA).parquet(*answers), tables.spark.read.parquet(*made)
     errors = landed.filter("error is not null").select("job_id", "error").union(rows.filter("error is not null").select("job_id", F.concat(F.coalesce("selector", F.lit("")), F.lit(": "), "error")))
     if ends:
         every = tables.spark.read.parquet(*ends)
         stopped = every.select("job_id", "page").join(merge_pages(every, ["job_id"]).select("job_id", "page"), ["job_id", "page"], "left_anti")
         rows = rows.join(stopped, ["job_id", "page"], "left_anti")
-        if len(answers) == most:
-            errors = errors.union(todo.select("job_id", F.lit(f"there are more than {most} pages").alias("error")))
+        if len(answers) > most and not going.isEmpty():
+            errors = errors.union(going.select("job_id", F.lit(f"there are more than {most} pages").alias("error")))
     return landed, rows.filter("error is null"), errors
 
 
