@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,6 +27,9 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Plans that nothing refers to any more go on both sides of the gateway, and Arrow gives freed memory back.
+    gc.collect()
+    pa.default_memory_pool().release_unused()
     out = spark.read.schema(df.schema).parquet(path)
     out._settled = path
     return out
