@@ -565,3 +565,39 @@ def test_only_changed_jobs_are_exported(spark, store, tmp_path):
     done = export.finalize(store, f"file://{tmp_path}/out", date(2024, 3, 29), since=NOW).collect()
     assert [(r.table, r.job_id, r.n) for r in done] == [("kis_futopt_price", "job2", 1)]
     assert spark.read.parquet(f"file://{tmp_path}/out/kis_futopt_price/latest").count() == 1
+
+
+def _files(path):
+    return sorted(os.path.relpath(os.path.join(d, f), path) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_an_exports_files_do_not_grow_with_its_jobs(spark, tmp_path):
+    at = f"{tmp_path}/out"
+    rows = spark.range(3000).select(F.concat(F.lit("j/"), F.col("id") % 1000).alias("job_id"), "id", F.lit(None).cast("double").alias("x"))
+    export.export(rows, f"file://{at}")
+    assert 0 < len(_files(at)) <= 2 * export.BUCKETS
+    # Other jobs of the buckets that are written again keep their rows, and the columns that only they have.
+    export.export(spark.createDataFrame([("j/7", -1), (None, -2)], "job_id string, id long"), f"file://{at}")
+    export.export(rows.limit(0), f"file://{at}")
+    want = {tuple(r) for r in rows.filter("job_id != 'j/7'").collect()} | {("j/7", -1, None), (None, -2, None)}
+    back = spark.read.option("mergeSchema", True).parquet(f"file://{at}")
+    assert sorted(map(repr, map(tuple, back.select("job_id", "id", "x").collect()))) == sorted(map(repr, want)) and back.schema["x"].dataType.simpleString() == "double"
+    assert len(_files(at)) <= 4 * export.BUCKETS and not [n for n in os.listdir(at) if n.startswith("_draft")]
+
+
+def test_an_export_that_breaks_off_changes_nothing_or_is_completed(spark, tmp_path, monkeypatch):
+    at = f"{tmp_path}/out"
+    rows = spark.range(300).select(F.concat(F.lit("j"), F.col("id") % 100).alias("job_id"), "id")
+    found = lambda: sorted(map(tuple, spark.read.parquet(f"file://{at}").select("job_id", "id").collect()))
+    rows.withColumn("job", F.md5("job_id")).write.partitionBy("job").parquet(f"file://{at}")  # folders of single jobs, of earlier versions
+    before = _files(at)
+    with pytest.raises(Exception, match="bad row"):
+        export.export(rows.withColumn("id", F.when(F.col("id") == 299, F.raise_error(F.lit("bad row")).cast("long"))), f"file://{at}")
+    assert _files(at) == before
+    # The driver is lost when all is written and nothing is in place yet.
+    with monkeypatch.context() as lost:
+        lost.setattr(export, "_put", lambda spark, path: None)
+        export.export(rows.filter("job_id = 'j3' and id > 200"), f"file://{at}")
+    assert [f for f in _files(at) if not f.startswith("_draft")] == before
+    export.export(rows.filter("job_id = 'j4' and id > 200"), f"file://{at}")
+    assert found() == sorted((r.job_id, r.id) for r in rows.collect() if r.job_id not in ("j3", "j4") or r.id > 200)

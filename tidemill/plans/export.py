@@ -11,20 +11,73 @@ from urllib.parse import quote
 import pyarrow as pa
 import pyarrow.fs
 import pyarrow.parquet
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from tidemill.sources.tables import Tables
+from tidemill.sources.tables import Tables, bucket_of
+
+
+#: Folders over which an export's jobs are dealt by hash. Part of the layout: a folder's later exports have to use the same number.
+BUCKETS = 64
+_READY = "_READY"
+
+
+def _files(spark: SparkSession, at: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, at: str) -> list[str]:
+    path, files = _files(spark, at)
+    return sorted(x.getPath().getName() for x in files.listStatus(path)) if files.exists(path) else []
+
+
+def _put(spark: SparkSession, path: str) -> None:
+    """Put drafts that were whole in place of the folders that they are of, and delete the others. What a lost driver left half done goes on."""
+    for draft in (f"{path}/{n}" for n in _names(spark, path) if n.startswith("_draft-")):
+        at, files = _files(spark, draft)
+        inside = _names(spark, draft)
+        if _READY in inside:
+            for name in (n for n in inside if n.startswith("job_bucket=")):
+                files.delete(_files(spark, f"{path}/{name}")[0], True)
+                if not files.rename(_files(spark, f"{draft}/{name}")[0], _files(spark, f"{path}/{name}")[0]):
+                    raise OSError(f"can't put {draft}/{name} in place")
+            for name in (n for n in _names(spark, path) if n.startswith("job=")):
+                files.delete(_files(spark, f"{path}/{name}")[0], True)
+        files.delete(at, True)
 
 
 def export(rows: DataFrame, path: str) -> None:
-    """Write a table with a folder for each job, over those jobs' folders alone. Columns keep their types, also where all are null; no rows write nothing.
+    """Write a table over what the folder holds of the same jobs; other jobs keep their rows. Columns keep their types, also where all are null; no rows write nothing.
+
+    Jobs are dealt over ``BUCKETS`` folders and stand sorted by job in their files, so the number of files does not grow with the number of jobs; a large bucket fills several
+    files. Buckets of the new jobs are written again as a whole: as a draft, which is put in place once it is complete. An export whose driver is lost changes nothing before
+    that, and is completed by the next one after it. One export at a time may write to a folder. Folders of single jobs (``job=...``), as earlier versions wrote, are taken over.
 
-    The path is in any file system that Hadoop's clients reach (``s3a://bucket/folder`` too). Spark writes beside the folders and puts all in place at the end; a large job fills several files.
+    The path is in any file system that Hadoop's clients reach (``s3a://bucket/folder`` too).
     """
-    rows = rows.withColumn("job", F.md5("job_id"))
-    rows.hint("rebalance", F.col("job")).write.mode("overwrite").partitionBy("job").option("partitionOverwriteMode", "dynamic").parquet(path)
+    spark, path = rows.sparkSession, path.rstrip("/")
+    _put(spark, path)
+    held, draft = _names(spark, path), f"{path}/_draft-{uuid.uuid4().hex}"
+
+    def write(some: DataFrame) -> None:
+        some = some.withColumn("job_bucket", bucket_of(F.col("job_id"), BUCKETS))
+        some.hint("rebalance", F.col("job_bucket")).sortWithinPartitions("job_bucket", "job_id").write.mode("append").partitionBy("job_bucket").parquet(draft)
+
+    try:
+        write(rows)
+        made = {n for n in _names(spark, draft) if n.startswith("job_bucket=")}
+        old = [f"{path}/{n}" for n in held if made and (n in made or n.startswith("job="))]
+        if old:
+            # Other jobs of these buckets, with all the columns that they have.
+            new = spark.read.parquet(draft).select("job_id").distinct()
+            before = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*old)
+            write(before.join(new, before.job_id.eqNullSafe(new.job_id), "left_anti"))
+        if made:
+            _files(spark, draft)[1].create(_files(spark, f"{draft}/{_READY}")[0], True).close()
+    finally:
+        _put(spark, path)
 
 
 @dataclass
