@@ -506,6 +506,26 @@ def test_join_takes_rows_with_one_id_as_one_document(spark):
     assert {(50, 50), (60, 50), (70, 50), (80, 80), (None, 80)} <= got and all(c in (i, None) for i, c in got if i is not None and i >= 100)
 
 
+def test_join_meets_a_pair_once_in_the_last_round(spark, monkeypatch):
+    luck, seen = random.Random(3), []
+    # Sets that share very many tokens, and others of which pairs share late ones alone; set 5 stands for two texts of one document, whose places mix.
+    held = {i: list(range(20)) if i < 20 else sorted(luck.sample(range(100, 190), 9)) for i in range(60)}
+    rows = [(t, i, 100, at, i, -1, 60) for i, own in held.items() for at, t in enumerate(own)] + [(100, 5, 100, 0, 5, -1, 60)]
+    held[5] = [*held[5], 100]
+    placed = spark.createDataFrame(rows, "token long, node long, n int, pos int, comp long, main long, often long")
+    members = spark.createDataFrame([(i, 100, [0] * jaccard_join.PARITY, i) for i in [5, *held]], "node long, n int, bits array<long>, gid long")
+    met = jaccard_join._met
+    monkeypatch.setattr(jaccard_join, "_met", lambda *a: seen.append(met(*a).collect()) or met(*a))
+    pairs = jaccard_join._left(placed, members, members.limit(0), spark.createDataFrame([], "node long, comp long"), 80)
+    want = {(a, b) for a, b in itertools.combinations(held, 2) if {*held[a]} & {*held[b]}}
+    assert {tuple(r) for r in pairs.collect()} == want
+    made = collections.Counter(tuple(sorted(r)) for r in seen[0])
+    assert {*made} == want and all(made[a, b] == 1 for a, b in itertools.combinations(range(20), 2) if 5 not in (a, b))
+    # 20 times as many in the lists of the first sets, and all shared tokens of the others, were made before.
+    late = [(a, b) for a, b in want if a >= 20 and {*held[a][: jaccard_join.FIRST]} & {*held[b][: jaccard_join.FIRST]}]
+    assert late and all(made[p] == 1 for p in late)
+
+
 def test_secrets_in_a_text_with_very_many_candidates(spark):
     n = 100_000
     row = secret_ownership.scan(spark.createDataFrame([(1, "token=abcdef Zq8Lk2Vx7Rt5Yw1Nb4Mc " * n, "en", "s")], "doc_id long, text string, lang string, source string")).first()

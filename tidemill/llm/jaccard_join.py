@@ -39,6 +39,8 @@ LEADERS = 2
 CANDIDATES = 16
 #: Pairs an entry of a list that may be formed at last, on average; beyond it, neighbours are linked first. It only moves cost.
 MANY = 2_000
+#: A set's first tokens that its entries carry in the last round: two sets that have one of them in common meet in the first list they share alone. It only moves cost.
+FIRST = 4
 #: Entries of a list that are put in order at once.
 BLOCK = 5_000
 _NONE = 2**63 - 1
@@ -248,14 +250,16 @@ def _first_tries(lists: DataFrame, several: DataFrame, percent: int) -> DataFram
     return tries.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count("*").alias("shared"))
 
 
-def _left(placed: DataFrame, members: DataFrame, several: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of members of different components that the lists still hold and no filter excludes."""
-    parts = settle(_regrouped(several, comps).join(several.select("node", "bits"), "node").filter("gid = lead").select("gid", "node", "bits"))
-    lead = parts.filter("gid = node").select("gid", F.struct("bits").alias("y"))
-    spreads = parts.select("gid", F.struct("bits").alias("x")).join(lead, "gid").groupBy(F.col("gid").alias("node")).agg(F.max(F.expr(_DIFFER)).alias("spread"))
-    leaders = members.select("node", "n", "bits").join(spreads, "node", "left")
-    entry = F.struct("node", "n", "pos", "comp", "bits", F.coalesce("spread", F.lit(0)).alias("spread"))
-    left = settle(placed.join(leaders, ["node", "n"]).select("token", entry.alias("x"), F.expr("comp != main").alias("minor")))
+def _first_tokens(placed: DataFrame, members: DataFrame) -> DataFrame:
+    """The FIRST tokens (first) that a node has in the lists, in the order that all sets share. None for sets of one document and one size: a node
+    has the tokens of all of them."""
+    single = members.groupBy("node", "n").agg(F.count("*").alias("sets")).filter("sets = 1").select("node", "n")
+    first = placed.groupBy("node", "n").agg(F.expr(f"transform(slice(array_sort(collect_list(struct(pos, token))), 1, {FIRST}), t -> t.token)").alias("first"))
+    return first.join(single, ["node", "n"])
+
+
+def _met(left: DataFrame, percent: int) -> DataFrame:
+    """Pairs (ga, gb) of nodes that no filter excludes, of the entries (token, x, minor) of lists; nearly all of them once."""
     # Sets meet in bands of sizes, three times as wide (in the logarithm) as the sizes that can match; one side stands in all bands it can match.
     band = lambda size: F.expr(f"int(floor(ln({size}) / {max(3 * math.log(100 / percent), 0.01)}))")
     spans = F.explode(F.sequence(band(f"x.n * {percent} / 100"), band(f"x.n * 100 / {percent}")))
@@ -263,7 +267,20 @@ def _left(placed: DataFrame, members: DataFrame, several: DataFrame, comps: Data
     other = left.select("token", F.col("x").alias("y"), F.col("minor").alias("too"), band("x.n").alias("band"))
     met = minor.join(other, ["token", "band"]).filter("x.node < y.node or not too").filter("x.comp != y.comp")
     met = met.filter(_can_match(percent)).filter(_may_overlap(percent, "x.spread + y.spread"))
-    met = settle(met.select(F.col("x.node").alias("ga"), F.col("y.node").alias("gb")).distinct())
+    # If any of the first tokens are common, the first list that both stand in is among them.
+    met = met.filter("token = coalesce(get(array_intersect(x.first, y.first), 0), token)")
+    return met.select(F.col("x.node").alias("ga"), F.col("y.node").alias("gb"))
+
+
+def _left(placed: DataFrame, members: DataFrame, several: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members of different components that the lists still hold and no filter excludes."""
+    parts = settle(_regrouped(several, comps).join(several.select("node", "bits"), "node").filter("gid = lead").select("gid", "node", "bits"))
+    lead = parts.filter("gid = node").select("gid", F.struct("bits").alias("y"))
+    spreads = parts.select("gid", F.struct("bits").alias("x")).join(lead, "gid").groupBy(F.col("gid").alias("node")).agg(F.max(F.expr(_DIFFER)).alias("spread"))
+    leaders = members.select("node", "n", "bits").join(spreads, "node", "left").join(_first_tokens(placed, members), ["node", "n"], "left")
+    entry = F.struct("node", "n", "pos", "comp", "bits", F.coalesce("spread", F.lit(0)).alias("spread"), "first")
+    left = settle(placed.join(leaders, ["node", "n"]).select("token", entry.alias("x"), F.expr("comp != main").alias("minor")))
+    met = settle(_met(left, percent).distinct())
     drop(left)
     # Group pairs are expanded to members, which are compared by their own bitmaps.
     own = members.select("node", "n", "bits").join(parts.select("node", "gid"), "node", "left")
