@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -12,7 +13,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.llm import crf_quality, html_blocks, interleave, jaccard_join, langid, latent_decontam, linededup, pii_bootstrap, queries, raking, secret_ownership
+from tidemill.llm import crf_quality, html_blocks, interleave, jaccard_join, langid, latent_decontam, linededup, pii_bootstrap, queries, raking, secret_ownership, stage
+from tidemill.llm import components as stars
 from tidemill.llm.components import components
 
 DATA = "/root/testdata/sf0.001"
@@ -63,6 +65,27 @@ def test_components(spark):
     assert got == {x: p for x, p in parent.items() if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def test_stars_take_one_round(spark, monkeypatch):
+    """Links that hang on the least node of each component need no second round to show that nothing changes."""
+    calls, star = [], stars._star
+    monkeypatch.setattr(stars, "_star", lambda edges, large: calls.append(large) or star(edges, large))
+    edges = [(i, i - i % 10) for i in range(50)]
+    assert {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == {(a, b) for a, b in edges}
+    assert calls == [True, False]
+
+
+def test_settled_tables_free_what_plans_hold(spark, monkeypatch):
+    """What a plan that nothing refers to any more holds in the driver's JVM is given back when a table is written, not each time."""
+    held = spark._jvm.java.lang.ref.WeakReference(spark.range(100).groupBy(F.col("id") % 7).count()._jdf)
+    time.sleep(3)  # until the gateway has let go of it
+    monkeypatch.setattr(stage, "_due", 0.0, raising=False)
+    stage.settle(spark.range(1))
+    assert held.get() is None
+    due = stage._due
+    stage.settle(spark.range(1))
+    assert stage._due == due
+
+
 def _joined(texts, k, percent):
     sets = {}
     for i, t in texts.items():

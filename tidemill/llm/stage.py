@@ -5,11 +5,16 @@ from __future__ import annotations
 import gc
 import re
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Seconds between two collections of the driver's JVM at least, and the share of its time that they take at most.
+COLLECT_S, COLLECT_SHARE = 5, 0.05
+_due = 0.0
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``. Where that is unset a local session (tests) gets a new one; a cluster's has to name one that all executors share."""
@@ -22,14 +27,28 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def tidy(spark: SparkSession) -> None:
+    """Free what the driver holds of plans that nothing refers to any more.
+
+    They go on both sides of the gateway, and freed memory of Arrow and of Python back to the system. Each stage leaves blocks of some MB in the
+    driver's JVM, which rather grows to its limit than make room; now and then it is asked to. Spark then deletes the plans' shuffle files and broadcasts too.
+    """
+    global _due
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+    if (began := time.monotonic()) >= _due:
+        spark._jvm.System.gc()
+        now = time.monotonic()
+        _due = now + max(COLLECT_S, (now - began) / COLLECT_SHARE)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a reader of those files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    # Plans that nothing refers to any more go on both sides of the gateway, and Arrow gives freed memory back.
-    gc.collect()
-    pa.default_memory_pool().release_unused()
+    tidy(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._settled = path
     return out
